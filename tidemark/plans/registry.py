@@ -56,3 +56,292 @@ FROM ranked r LEFT JOIN labels l ON r.series_id = l.series_id LEFT JOIN populati
 def q_agg_value_per_year(spark, sf_dir):
     """G2 flagship: SQL twin (primary) over the driver star."""
     return gold.agg_value_per_year_sql(spark, star.gold_inputs(spark, sf_dir))
+
+
+def _q(spark, sf_dir, name):
+    return star.read(spark, sf_dir, name)
+
+
+@register(
+    "value_per_quarter",
+    _with(star.ORACLE_STAR_CTE, f"""
+, ranked AS (SELECT series_id, year, period, CAST(value AS DOUBLE) AS value,
+                    row_number() OVER (PARTITION BY series_id, period ORDER BY CAST(value AS DOUBLE) DESC, year ASC) = 1
+                        AS best_year_per_quarter
+             FROM facts WHERE period <> 'Q05')
+SELECT r.series_id, l.sector_name, l.measure_text, l.class_text, l.duration_text, l.seasonal_text,
+       {star.ORACLE_LABEL} AS label, r.year, r.period, r.value, r.best_year_per_quarter, p.population
+FROM ranked r LEFT JOIN labels l ON r.series_id = l.series_id LEFT JOIN population p ON r.year = p.year
+"""),
+)
+def q_value_per_quarter(spark, sf_dir):
+    """Per (series, year, quarter) value with best year per slot (SQL twin)."""
+    return gold.value_per_quarter_sql(spark, star.gold_inputs(spark, sf_dir))
+
+
+@register(
+    "population_stats",
+    _with(star.ORACLE_STAR_CTE, """
+SELECT count(year) AS year_count, round(avg(population), 6) AS population_mean,
+       round(stddev_samp(population), 6) AS population_stddev_samp,
+       round(stddev_pop(population), 6) AS population_stddev_pop
+FROM population WHERE year BETWEEN 1996 AND 2000
+"""),
+)
+def q_population_stats(spark, sf_dir):
+    """G1: summary statistics of the sparse population over an inclusive window."""
+    pop = star.orders_population(_q(spark, sf_dir, "orders"))
+    out = gold.population_stats_df(pop, 1996, 2000)
+    return out.select("year_count", *[F.round(c, 6).alias(c) for c in out.columns if c != "year_count"])
+
+
+@register(
+    "best_year_report",
+    _with(star.ORACLE_STAR_CTE, f"""
+, yearly AS (SELECT series_id, year, CAST(round(sum(CAST(value AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+             FROM facts WHERE period <> 'Q05' GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY summed_value DESC, year ASC) AS rn FROM yearly)
+SELECT r.series_id, l.sector_name, l.measure_text, l.class_text, l.duration_text, l.seasonal_text,
+       {star.ORACLE_LABEL} AS label, r.year, r.summed_value, true AS is_best_year, p.population
+FROM ranked r LEFT JOIN labels l ON r.series_id = l.series_id LEFT JOIN population p ON r.year = p.year
+WHERE rn = 1
+"""),
+)
+def q_best_year_report(spark, sf_dir):
+    """One row per series, its best year."""
+    return gold.best_year_report(star.gold_inputs(spark, sf_dir))
+
+
+@register(
+    "series_vs_population",
+    _with(star.ORACLE_STAR_CTE, f"""
+SELECT f.series_id, {star.ORACLE_LABEL} AS label, f.year, f.period, CAST(f.value AS DOUBLE) AS value, p.population
+FROM facts f LEFT JOIN labels l ON f.series_id = l.series_id LEFT JOIN population p ON f.year = p.year
+WHERE f.period = 'Q01'
+"""),
+)
+def q_series_vs_population(spark, sf_dir):
+    """Every series' first-quarter values next to that year's population."""
+    return gold.series_vs_population(star.gold_inputs(spark, sf_dir), "Q01")
+
+
+@register(
+    "twin_parity",
+    _with(star.ORACLE_STAR_CTE, """
+SELECT 'agg_value_per_year' AS analysis, (SELECT count(*) FROM (SELECT DISTINCT series_id, year FROM facts WHERE period <> 'Q05')) AS n_rows,
+       0 AS sql_only, 0 AS df_only
+UNION ALL
+SELECT 'population_stats', 1, 0, 0
+UNION ALL
+SELECT 'value_per_quarter', (SELECT count(*) FROM facts WHERE period <> 'Q05'), 0, 0
+"""),
+)
+def q_twin_parity(spark, sf_dir):
+    """SQL and DataFrame twins agree (rows only in one of them, both directions)."""
+    inp = star.gold_inputs(spark, sf_dir)
+    pop = star.orders_population(_q(spark, sf_dir, "orders"))
+    pairs = {
+        "agg_value_per_year": (gold.agg_value_per_year_sql(spark, inp), gold.agg_value_per_year_df(inp)),
+        "value_per_quarter": (gold.value_per_quarter_sql(spark, inp), gold.value_per_quarter_df(inp)),
+        "population_stats": (gold.population_stats_sql(spark, pop, 1996, 2000), gold.population_stats_df(pop, 1996, 2000)),
+    }
+    parts = []
+    for name, (s, d) in pairs.items():
+        if s.schema.simpleString() != d.schema.simpleString():
+            raise ValueError(f"{name}: twin schemas differ")
+        tagged = (
+            s.select(F.lit(1).alias("n_rows"), F.lit(0).alias("sql_only"), F.lit(0).alias("df_only"))
+            .unionByName(s.exceptAll(d).select(F.lit(0).alias("n_rows"), F.lit(1).alias("sql_only"), F.lit(0).alias("df_only")))
+            .unionByName(d.exceptAll(s).select(F.lit(0).alias("n_rows"), F.lit(0).alias("sql_only"), F.lit(1).alias("df_only")))
+        )
+        parts.append(
+            tagged.agg(*[F.sum(c).cast("long").alias(c) for c in ("n_rows", "sql_only", "df_only")])
+            .select(F.lit(name).alias("analysis"), "n_rows", "sql_only", "df_only")
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ====================================================================== aggregation / window / filters
+
+@register(
+    "grouped_rounded_sum",
+    """
+SELECT l_suppkey AS series_id, year(l_shipdate) AS year,
+       CAST(round(sum(CAST(l_extendedprice AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+FROM lineitem GROUP BY 1, 2
+""",
+)
+def q_grouped_rounded_sum(spark, sf_dir):
+    """A1: exact (DECIMAL) sum rounded to one digit per (series, year)."""
+    from tidemark.operators.aggregates import exact_rounded_sum
+
+    li = _q(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_suppkey").alias("series_id"), F.year("l_shipdate").alias("year")).agg(
+        exact_rounded_sum(li, "l_extendedprice", 1).alias("summed_value")
+    )
+
+
+@register(
+    "exclude_annual_period",
+    _with(star.ORACLE_STAR_CTE, """
+SELECT series_id, year, period, CAST(value AS DOUBLE) AS value FROM facts WHERE period <> 'Q05'
+"""),
+)
+def q_exclude_annual_period(spark, sf_dir):
+    """The annual-average period is excluded (NULL periods drop too)."""
+    facts = star.quarterly_facts(_q(spark, sf_dir, "lineitem"))
+    return facts.filter(F.col("period") != gold.ANNUAL_PERIOD).withColumn("value", F.col("value").cast("double"))
+
+
+@register(
+    "best_year_flag",
+    _with(star.ORACLE_STAR_CTE, """
+, yearly AS (SELECT series_id, year, CAST(round(sum(CAST(value AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+             FROM facts WHERE period <> 'Q05' GROUP BY 1, 2)
+SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY summed_value DESC, year ASC) = 1 AS is_best_year FROM yearly
+"""),
+)
+def q_best_year_flag(spark, sf_dir):
+    """All rows kept, exactly one flagged per series; ties → earliest year."""
+    from tidemark.operators.aggregates import exact_rounded_sum
+    from tidemark.operators.ranking import flag_best
+
+    facts = star.quarterly_facts(_q(spark, sf_dir, "lineitem"))
+    yearly = facts.filter(F.col("period") != "Q05").groupBy("series_id", "year").agg(
+        exact_rounded_sum(facts, "value", 1).alias("summed_value")
+    )
+    return flag_best(yearly, ["series_id"], [F.col("summed_value").desc(), F.col("year").asc()], "is_best_year")
+
+
+@register(
+    "latest_per_group",
+    """
+SELECT event_type, user_id, event_id, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events WHERE event_type <> 'error') t WHERE rn = 1
+""",
+)
+def q_latest_per_group(spark, sf_dir):
+    """Newest row per (type, user) among non-error events."""
+    from tidemark.operators.ranking import top_row_per_group
+
+    ev = _q(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    return top_row_per_group(ev, ["event_type", "user_id"], ["ts", "event_id"], ["event_id", "ts"])
+
+
+@register(
+    "run_summary",
+    """
+SELECT user_id, bool_or(event_type = 'error') AS had_error, count(*) AS n,
+       count(*) FILTER (WHERE event_type = 'view') AS n_view
+FROM events GROUP BY user_id
+""",
+)
+def q_run_summary(spark, sf_dir):
+    """A3: per run (user): any error, items, items of one status."""
+    from tidemark.operators.aggregates import run_summary
+
+    return run_summary(_q(spark, sf_dir, "events"), "user_id", "event_type", "error", ("view",))
+
+
+@register(
+    "freshness_check",
+    """
+SELECT event_type, max(ts) AS latest_ts, max(ts) < TIMESTAMP '2024-01-30 22:00:00' AS is_stale
+FROM events GROUP BY event_type
+""",
+)
+def q_freshness_check(spark, sf_dir):
+    """Latest arrival per dataset against a cutoff."""
+    from tidemark.operators.aggregates import freshness
+
+    return freshness(_q(spark, sf_dir, "events"), "event_type", "ts", "2024-01-30 22:00:00")
+
+
+# ====================================================================== quality gates
+
+ORDER_RULES = {
+    "has_price": "o_totalprice IS NOT NULL",
+    "plausible_year": "year(o_orderdate) BETWEEN 1996 AND 2000",
+    "valid_status": "o_orderstatus IN ('F', 'O')",
+}
+ORDER_RULES_DUCKDB = ORDER_RULES  # same text in both dialects
+
+
+@register(
+    "expectation_metrics",
+    """
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE NOT coalesce(regexp_matches(o_orderpriority, '^[1-3]-'), false)) AS valid_priority,
+       count(*) FILTER (WHERE NOT coalesce(o_totalprice IS NOT NULL, false)) AS has_price
+FROM orders
+""",
+)
+def q_expectation_metrics(spark, sf_dir):
+    """Warn-only rules; rows kept, failures counted per rule (one global aggregate)."""
+    from tidemark.operators.quality import Rule, rule_metrics
+
+    rules = [Rule("valid_priority", "o_orderpriority RLIKE '^[1-3]-'"), Rule("has_price", "o_totalprice IS NOT NULL")]
+    return rule_metrics(_q(spark, sf_dir, "orders"), rules)
+
+
+@register(
+    "expect_or_drop",
+    """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE coalesce(c_acctbal >= 0, false)
+""",
+)
+def q_expect_or_drop(spark, sf_dir):
+    """One rule; failing rows removed."""
+    from tidemark.operators.quality import Rule, expect_or_drop
+
+    cust = _q(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return expect_or_drop(cust, [Rule("non_negative_balance", "c_acctbal >= 0")])
+
+
+@register(
+    "expect_all_or_drop",
+    "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE "
+    + " AND ".join(f"coalesce({p}, false)" for p in ORDER_RULES_DUCKDB.values()),
+)
+def q_expect_all_or_drop(spark, sf_dir):
+    """A row is kept only when every rule is TRUE."""
+    from tidemark.operators.quality import expect_or_drop, rules_from
+
+    o = _q(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return expect_or_drop(o, rules_from(ORDER_RULES))
+
+
+@register(
+    "quarantine_by_rule",
+    "SELECT rule, n FROM (\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{k}' AS rule, count(*) AS n FROM orders WHERE NOT coalesce({p}, false)" for k, p in ORDER_RULES_DUCKDB.items()
+    )
+    + "\n) t WHERE n > 0",
+)
+def q_quarantine_by_rule(spark, sf_dir):
+    """D3: failures per rule name (rules with no failure are omitted)."""
+    from tidemark.operators.quality import rules_from, violations_by_rule
+
+    return violations_by_rule(_q(spark, sf_dir, "orders"), rules_from(ORDER_RULES))
+
+
+@register(
+    "quarantined_rows",
+    "SELECT o_orderkey, "
+    + "list_filter(["
+    + ", ".join(f"CASE WHEN NOT coalesce({p}, false) THEN '{k}' END" for k, p in ORDER_RULES_DUCKDB.items())
+    + "], lambda x: x IS NOT NULL) AS _failed_rules FROM orders WHERE NOT ("
+    + " AND ".join(f"coalesce({p}, false)" for p in ORDER_RULES_DUCKDB.values())
+    + ")",
+)
+def q_quarantined_rows(spark, sf_dir):
+    """D3: rejected rows kept aside with the names of the rules they failed."""
+    from tidemark.operators.quality import quarantine, rules_from
+
+    _, rejected = quarantine(_q(spark, sf_dir, "orders"), rules_from(ORDER_RULES))
+    return rejected.select("o_orderkey", "_failed_rules")
