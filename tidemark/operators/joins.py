@@ -63,17 +63,22 @@ def star_join(
     """Left-join each dimension in order (a later dim may key off an earlier one).
 
     Keys may be named differently on the two sides; the dimension key column
-    is dropped after the join unless it is also one of its label columns.
-    Each dimension must be unique on its key, or fact rows would multiply.
+    is dropped after the join. Each dimension must be unique on its key, or
+    fact rows would multiply: asserted for dimensions small enough to
+    broadcast, a primary-key contract for larger ones.
     """
     out = facts
     for d in dims:
         right = d.table.select(F.col(d.right_key).alias("__dim_key"), *d.columns)
         if d.condition is not None:
             right = d.table.filter(d.condition).select(F.col(d.right_key).alias("__dim_key"), *d.columns)
-        if check_unique:
-            assert_unique(right, ["__dim_key"], what=f"dimension on {d.right_key}")
-        right = sized_broadcast(right, max_broadcast_rows)
+        if rows_at_most(right, max_broadcast_rows):
+            # Small: prove the key unique (cheap at this size), then broadcast.
+            if check_unique:
+                assert_unique(right, ["__dim_key"], what=f"dimension on {d.right_key}")
+            right = F.broadcast(right)
+        # Large: a shuffle join chosen by Catalyst/AQE; key uniqueness is the
+        # dimension's primary-key contract (checking it would cost a full shuffle).
         out = out.join(right, out[d.left_key] == right["__dim_key"], how).drop("__dim_key")
     return out
 

@@ -345,3 +345,416 @@ def q_quarantined_rows(spark, sf_dir):
 
     _, rejected = quarantine(_q(spark, sf_dir, "orders"), rules_from(ORDER_RULES))
     return rejected.select("o_orderkey", "_failed_rules")
+
+
+# ====================================================================== joins
+
+@register(
+    "star_label_join",
+    """
+SELECT l_orderkey, l_linenumber, l_suppkey,
+       concat_ws(', ', s_name, p_brand || ' (' || p_type || ')', o_orderpriority) AS label
+FROM lineitem
+LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal > 0
+LEFT JOIN part ON l_partkey = p_partkey AND p_size > 10
+LEFT JOIN orders ON l_orderkey = o_orderkey
+""",
+)
+def q_star_label_join(spark, sf_dir):
+    """Fact ⟕ several dimensions; each broadcast only when proven small."""
+    from tidemark.operators.joins import Dim, star_join
+
+    li = _q(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    out = star_join(
+        li,
+        [
+            Dim(_q(spark, sf_dir, "supplier"), "l_suppkey", "s_suppkey", ("s_name",), F.col("s_acctbal") > 0),
+            Dim(_q(spark, sf_dir, "part"), "l_partkey", "p_partkey", ("p_brand", "p_type"), F.col("p_size") > 10),
+            Dim(_q(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey", ("o_orderpriority",)),
+        ],
+    )
+    label = F.concat_ws(", ", "s_name", F.concat("p_brand", F.lit(" ("), "p_type", F.lit(")")), "o_orderpriority")
+    return out.select("l_orderkey", "l_linenumber", "l_suppkey", label.alias("label"))
+
+
+@register(
+    "join_renamed_key",
+    """
+SELECT s_suppkey, s_name, n_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+""",
+)
+def q_join_renamed_key(spark, sf_dir):
+    """Join on differently named keys (series.seasonal = seasonal.seasonal_code style)."""
+    from tidemark.operators.joins import Dim, star_join
+
+    sup = _q(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    return star_join(sup, [Dim(_q(spark, sf_dir, "nation"), "s_nationkey", "n_nationkey", ("n_name",))]).select(
+        "s_suppkey", "s_name", "n_name"
+    )
+
+
+@register(
+    "sparse_dim_join",
+    _with(star.ORACLE_STAR_CTE, """
+SELECT f.series_id, f.year, f.period, CAST(f.value AS DOUBLE) AS value, p.population
+FROM facts f LEFT JOIN population p ON f.year = p.year
+"""),
+)
+def q_sparse_dim_join(spark, sf_dir):
+    """Facts ⟕ a dimension covering a few years; misses stay NULL, key asserted unique."""
+    from tidemark.operators.joins import sparse_dim_join
+
+    facts = star.quarterly_facts(_q(spark, sf_dir, "lineitem")).withColumn("value", F.col("value").cast("double"))
+    pop = star.orders_population(_q(spark, sf_dir, "orders"))
+    return sparse_dim_join(facts, pop, ["year"]).select("series_id", "year", "period", "value", "population")
+
+
+# Change detection between two snapshots of the documents table, both whole:
+# previous = documents as stored; current = a revision in which exact copies
+# are collapsed to their first doc_id (the rest REMOVED), runs of spaces/tabs
+# are collapsed to one space (CHANGED where that alters the text), and the
+# benchmark items are published as new items (ADDED).
+WS_RUN = "[ \t]+"
+
+
+def documents_revision(spark, sf_dir):
+    from tidemark.operators.changes import collapse_duplicates
+
+    docs = _q(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = collapse_duplicates(docs, "doc_id", "text").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("item"),
+        F.regexp_replace("text", WS_RUN, " ").alias("text"),
+    )
+    added = _q(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("bench-"), F.col("item_id").cast("string")).alias("item"), "text"
+    )
+    return kept.unionByName(added)
+
+
+ORACLE_DOC_SNAPSHOTS = """
+prev AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS item, sha256(text) AS fp FROM documents),
+cur AS (SELECT 'doc-' || CAST(min(doc_id) AS VARCHAR) AS item,
+               sha256(regexp_replace(text, '[ \t]+', ' ', 'g')) AS fp FROM documents GROUP BY text
+        UNION ALL
+        SELECT 'bench-' || CAST(item_id AS VARCHAR), sha256(text) FROM benchmark)
+"""
+
+
+@register(
+    "change_detection",
+    _with(ORACLE_DOC_SNAPSHOTS, """
+SELECT coalesce(cur.item, prev.item) AS item,
+       CASE WHEN prev.item IS NULL THEN 'ADDED' WHEN cur.item IS NULL THEN 'REMOVED'
+            WHEN cur.fp = prev.fp THEN 'UNCHANGED' ELSE 'CHANGED' END AS status,
+       prev.fp AS previous_fingerprint, cur.fp AS current_fingerprint
+FROM cur FULL OUTER JOIN prev ON cur.item = prev.item
+"""),
+)
+def q_change_detection(spark, sf_dir):
+    """ADDED / CHANGED / UNCHANGED / REMOVED between two whole snapshots."""
+    from tidemark.operators.changes import classify_changes
+
+    prev = _q(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("item"), F.sha2("text", 256).alias("fp")
+    )
+    cur = documents_revision(spark, sf_dir).select("item", F.sha2("text", 256).alias("fp"))
+    return classify_changes(cur, prev, "item", "fp")
+
+
+@register(
+    "duplicate_content",
+    """
+SELECT sha256(text) AS content_sha256, min(doc_id) AS first_doc_id, count(*) AS copies
+FROM documents GROUP BY 1 HAVING count(*) > 1
+""",
+)
+def q_duplicate_content(spark, sf_dir):
+    """Identical content landed more than once (whole-text hash)."""
+    from tidemark.operators.changes import duplicate_content
+
+    return duplicate_content(_q(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@register(
+    "content_hash",
+    "SELECT doc_id, sha256(text) AS content_sha256, octet_length(encode(text)) AS bytes FROM documents",
+)
+def q_content_hash(spark, sf_dir):
+    """R2: fingerprint (sha-256, UTF-8 byte count) of every whole document."""
+    from tidemark.functions.text import content_fingerprint
+
+    sha, n = content_fingerprint("text")
+    return _q(spark, sf_dir, "documents").select("doc_id", sha.alias("content_sha256"), n.alias("bytes"))
+
+
+# ====================================================================== SCD1
+
+@register(
+    "scd1_latest",
+    """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn
+  FROM lineitem) t WHERE rn = 1
+""",
+)
+def q_scd1_latest(spark, sf_dir):
+    """Latest version per composite key; sequence column not published."""
+    from tidemark.operators.cdc import latest_per_key
+
+    li = _q(spark, sf_dir, "lineitem")
+    return latest_per_key(
+        li, ["l_orderkey", "l_linenumber"], ["l_shipdate"], ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    )
+
+
+# ====================================================================== projections and scalar functions
+
+@register(
+    "sentinel_to_null",
+    """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN trim(x) IN ('-', '') THEN NULL ELSE try_cast(trim(x) AS DOUBLE) END AS v
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_linenumber = 1 THEN ' - ' WHEN l_linenumber = 2 THEN '  '
+                  ELSE lpad(CAST(l_quantity AS VARCHAR), 12, ' ') END AS x FROM lineitem) t
+""",
+)
+def q_sentinel_to_null(spark, sf_dir):
+    """P4: '-' and blank become NULL (never 0); padded numbers parse."""
+    from tidemark.functions.cleaning import sentinel_to_null
+
+    li = _q(spark, sf_dir, "lineitem")
+    raw = F.when(F.col("l_linenumber") == 1, " - ").when(F.col("l_linenumber") == 2, "  ").otherwise(
+        F.lpad(F.col("l_quantity").cast("string"), 12, " ")
+    )
+    return li.select("l_orderkey", "l_linenumber", sentinel_to_null(raw, "double").alias("v"))
+
+
+@register(
+    "flag_decode",
+    """
+SELECT l_orderkey, l_linenumber, l_linestatus,
+       CASE WHEN trim(l_linestatus) = 'T' THEN true WHEN trim(l_linestatus) = 'F' THEN false END AS flag
+FROM lineitem
+""",
+)
+def q_flag_decode(spark, sf_dir):
+    """P5: T → true, F → false, anything else → NULL."""
+    from tidemark.functions.cleaning import decode_flag
+
+    li = _q(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_linestatus", decode_flag("l_linestatus").alias("flag"))
+
+
+def _customer_as_raw_text(spark, sf_dir):
+    """customer with every value as padded text under padded, capitalised headers."""
+    c = _q(spark, sf_dir, "customer")
+    return c.select(
+        F.lpad(F.col("c_custkey").cast("string"), 12, " ").alias("c_custkey        "),
+        F.concat(F.col("c_name"), F.lit("  ")).alias("  C_Name"),
+        F.col("c_nationkey").cast("string").alias("c_nationkey"),
+        F.lpad(F.col("c_acctbal").cast("string"), 14, " ").alias("       c_acctbal"),
+        F.col("c_mktsegment").alias("c_mktsegment "),
+    )
+
+
+CUSTOMER_SPEC_COLUMNS = None  # built lazily (import cycle free)
+
+
+def _customer_spec():
+    from tidemark.functions.cleaning import ColumnSpec, TableSpec
+
+    return TableSpec(
+        "customer",
+        (
+            ColumnSpec("c_custkey", "bigint"),
+            ColumnSpec("c_name", "string"),
+            ColumnSpec("c_nationkey", "int"),
+            ColumnSpec("c_acctbal", "double", "sentinel"),
+            ColumnSpec("c_mktsegment", "string"),
+        ),
+        keys=("c_custkey",),
+    )
+
+
+@register("typed_projection", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_typed_projection(spark, sf_dir):
+    """Padded text → typed columns by a spec (headers resolved by stripped, folded name)."""
+    from tidemark.functions.cleaning import project_spec
+
+    return project_spec(_customer_as_raw_text(spark, sf_dir), _customer_spec())
+
+
+@register("strip_headers", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_strip_headers(spark, sf_dir):
+    """Whitespace-padded header names stripped in one projection."""
+    from tidemark.functions.cleaning import strip_column_names
+
+    c = _q(spark, sf_dir, "customer")
+    padded = c.toDF(*[f"  {n}     " if i % 2 else f"{n}        " for i, n in enumerate(c.columns)])
+    return strip_column_names(padded)
+
+
+@register(
+    "trim_columns",
+    "SELECT c_custkey, trim('  ' || c_name || '   ') AS c_name, trim(' ' || c_mktsegment) AS c_mktsegment FROM customer",
+)
+def q_trim_columns(spark, sf_dir):
+    """Spaces trimmed from every string column."""
+    from tidemark.functions.cleaning import trim_strings
+
+    c = _q(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.concat(F.lit("  "), "c_name", F.lit("   ")).alias("c_name"),
+        F.concat(F.lit(" "), "c_mktsegment").alias("c_mktsegment"),
+    )
+    return trim_strings(c)
+
+
+@register(
+    "code_preservation",
+    "SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS nation_code FROM customer",
+)
+def q_code_preservation(spark, sf_dir):
+    """Identifier codes stay text, leading zeros kept."""
+    from tidemark.functions.cleaning import typed
+
+    c = _q(spark, sf_dir, "customer").select("c_custkey", F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("raw"))
+    return c.select("c_custkey", typed("raw", "string").alias("nation_code"))
+
+
+@register(
+    "variant_extract",
+    "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+)
+def q_variant_extract(spark, sf_dir):
+    """Typed field of a VARIANT (NULL when absent or not castable)."""
+    from tidemark.functions.variant import variant_field
+
+    ev = _q(spark, sf_dir, "events")
+    return ev.select("event_id", variant_field(F.parse_json("props"), "k", "int").alias("k"))
+
+
+@register(
+    "variant_explode",
+    "SELECT user_id, event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+)
+def q_variant_explode(spark, sf_dir):
+    """JSON documents {"data": [...]} exploded to one row per element.
+
+    Events are packed into documents of at most 64 elements (per user and
+    event-id block), then parsed as VARIANT and exploded; the key with a
+    space is read with the bracket path.
+    """
+    from tidemark.functions.variant import variant_array, variant_field
+
+    ev = _q(spark, sf_dir, "events")
+    item = F.to_json(F.struct(F.col("event_id").alias("Event ID"), F.get_json_object("props", "$.k").cast("int").alias("k")))
+    docs = ev.groupBy("user_id", F.floor(F.col("event_id") / 64).alias("block")).agg(
+        F.concat(F.lit('{"data":['), F.array_join(F.collect_list(item), ","), F.lit("]}")).alias("doc")
+    )
+    items = docs.select("user_id", F.explode(variant_array(F.parse_json("doc"), "$.data")).alias("item"))
+    return items.select(
+        "user_id", variant_field("item", "Event ID", "bigint").alias("event_id"), variant_field("item", "k", "int").alias("k")
+    )
+
+
+@register(
+    "surrogate_key",
+    "SELECT c_custkey, sha256(concat_ws('‖', coalesce(CAST(c_custkey AS VARCHAR), ''), coalesce(c_name, ''))) AS sk FROM customer",
+)
+def q_surrogate_key(spark, sf_dir):
+    """Deterministic SHA-256 key of the business key columns."""
+    from tidemark.functions.keys import surrogate_key
+
+    return _q(spark, sf_dir, "customer").select("c_custkey", surrogate_key("c_custkey", "c_name").alias("sk"))
+
+
+@register("audit_columns", "SELECT s_suppkey, 'supplier' AS _source, true AS has_ts FROM supplier")
+def q_audit_columns(spark, sf_dir):
+    """Audit stamp (_insert_update_ts, _source)."""
+    from tidemark.functions.keys import with_audit_columns
+
+    s = with_audit_columns(_q(spark, sf_dir, "supplier").select("s_suppkey"), "supplier")
+    return s.select("s_suppkey", "_source", F.col("_insert_update_ts").isNotNull().alias("has_ts"))
+
+
+RUN_STAMP = "20260909T163000Z"
+
+
+@register(
+    "landing_path",
+    f"""
+SELECT doc_id, '/landing/' || source || '/doc-' || CAST(doc_id AS VARCHAR) || '/doc-' || CAST(doc_id AS VARCHAR)
+       || '.txt__{RUN_STAMP}' AS landing_path
+FROM documents
+""",
+)
+def q_landing_path(spark, sf_dir):
+    """K6: immutable per-run landing path <base>/<source>/<dataset>/<file>__<stamp>."""
+    from tidemark.functions.text import landing_path
+
+    d = _q(spark, sf_dir, "documents")
+    ds = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+    return d.select(
+        "doc_id", landing_path("/landing", "source", ds, F.concat(ds, F.lit(".txt")), F.lit(RUN_STAMP)).alias("landing_path")
+    )
+
+
+@register("ingest_ts_format", "SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS ingest_ts FROM events")
+def q_ingest_ts_format(spark, sf_dir):
+    """Run stamp format of a UTC timestamp."""
+    from tidemark.functions.text import ingest_ts
+
+    return _q(spark, sf_dir, "events").select("event_id", ingest_ts("ts").alias("ingest_ts"))
+
+
+@register(
+    "table_name_from_dataset",
+    "SELECT DISTINCT 'pr.' || p_type AS dataset, replace(lower('pr.' || p_type), '.', '_') AS table_name FROM part",
+)
+def q_table_name_from_dataset(spark, sf_dir):
+    """S2 naming: dataset name → identifier (lower case, dots → underscores)."""
+    from tidemark.functions.text import table_name_from_dataset
+
+    ds = _q(spark, sf_dir, "part").select(F.concat(F.lit("pr."), "p_type").alias("dataset")).distinct()
+    return ds.select("dataset", table_name_from_dataset("dataset").alias("table_name"))
+
+
+@register(
+    "listing_links",
+    """
+SELECT page_id, file_name FROM (
+  SELECT page_id, h, list_extract(string_split(h, '/'), -1) AS file_name
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '<[aA] [^>]*?[hH][rR][eE][fF]="([^"]*)"', 1)) AS h FROM pages) x
+) y WHERE h <> '' AND NOT starts_with(h, '?') AND NOT ends_with(h, '/')
+""",
+)
+def q_listing_links(spark, sf_dir):
+    """File links of listing pages (no sort links, no directories), basename only."""
+    from tidemark.functions.text import listing_links
+
+    return listing_links(_q(spark, sf_dir, "pages"), "html", keep=("page_id",))
+
+
+# ====================================================================== scans
+
+@register("table_scan_project", "SELECT s_suppkey, s_name FROM supplier")
+def q_table_scan_project(spark, sf_dir):
+    """Batch scan with projection (ReadSchema pruned to two columns)."""
+    _q(spark, sf_dir, "supplier").createOrReplaceTempView("tidemark_supplier")
+    return spark.table("tidemark_supplier").select("s_suppkey", "s_name")
+
+
+@register(
+    "param_scan",
+    "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase' AND value >= 10.0",
+)
+def q_param_scan(spark, sf_dir):
+    """Parameterised SQL — values bound, never interpolated."""
+    return spark.sql(
+        "SELECT event_id, user_id, value FROM {events} WHERE event_type = :event_type AND value >= :min_value",
+        args={"event_type": "purchase", "min_value": 10.0},
+        events=_q(spark, sf_dir, "events"),
+    )
