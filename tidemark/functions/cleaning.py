@@ -74,12 +74,18 @@ class ColumnSpec:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A silver table: its column specs, CDC keys and quality rules."""
+    """A silver table: its column specs, CDC keys and quality rules.
+
+    ``variant_path`` marks a table whose raw rows are VARIANT documents: the
+    array at that path is exploded and each ``ColumnSpec.raw`` names a field
+    of the array elements.
+    """
 
     name: str
     columns: tuple[ColumnSpec, ...]
     keys: tuple[str, ...]
     rules: tuple = field(default_factory=tuple)
+    variant_path: str | None = None
 
 
 def project_spec(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 # 20260909T163000Z) and the separator between a file name and that stamp.
 INGEST_TS_PATTERN = "yyyyMMdd'T'HHmmss'Z'"
 INGEST_TS_SUFFIX_SEP = "__"
-# Pattern of the run stamp at the end of a landed path.
-INGEST_TS_SUFFIX_REGEX = r"__([0-9]{8}T[0-9]{6}Z)$"
+# Pattern of the run stamp at the end of a landed path; a snapshot written by
+# Spark is a directory of part files, so the stamp may end the parent segment.
+INGEST_TS_SUFFIX_REGEX = r"__([0-9]{8}T[0-9]{6}Z)(/[^/]*)?$"
 # Anchor tags with an href, either case; group 1 is the link target.
 HREF_REGEX = r'<[aA] [^>]*?[hH][rR][eE][fF]="([^"]*)"'
 

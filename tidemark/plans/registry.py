@@ -758,3 +758,388 @@ def q_param_scan(spark, sf_dir):
         args={"event_type": "purchase", "min_value": 10.0},
         events=_q(spark, sf_dir, "events"),
     )
+
+
+# ====================================================================== ingest, streams and sinks
+# These queries write landing files and tables below the session's shared
+# checkpoint folder (``spark.checkpoint.dir``), each in a fresh directory.
+
+def _layout(spark, name):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.bronze import Layout
+
+    root = scratch_path(spark, name)
+    return Layout(landing=f"{root}/landing", tables=f"{root}/tables", checkpoints=f"{root}/_checkpoints", source="drv")
+
+
+CUSTOMER_PADDED = {
+    "c_custkey": "c_custkey        ",
+    "c_name": "  c_name",
+    "c_nationkey": "c_nationkey",
+    "c_acctbal": "     c_acctbal",
+    "c_mktsegment": "c_mktsegment ",
+}
+
+
+def _customer_text(spark, sf_dir, cols=("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")):
+    c = _q(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
+    return c.select(*[F.col(n).cast("string").alias(CUSTOMER_PADDED[n]) for n in cols])
+
+
+def _bronze_stripped(table):
+    from tidemark.functions.cleaning import strip_column_names
+
+    return strip_column_names(table.read())
+
+
+CUSTOMER_AS_TEXT = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer
+"""
+
+
+@register("ingest_delimited", CUSTOMER_AS_TEXT)
+def q_ingest_delimited(spark, sf_dir):
+    """Incremental TSV ingest (header row, everything STRING) via a triggered stream."""
+    from tidemark.sinks.tables import write_landing_snapshot
+    from tidemark.streaming.bronze import SourceSpec, refresh_bronze
+
+    lay = _layout(spark, "ingest_delimited")
+    spec = SourceSpec("customer.tsv", "customer")
+    write_landing_snapshot(_customer_text(spark, sf_dir), lay.landing, lay.source, spec.dataset, RUN_STAMP)
+    bronze = _bronze_stripped(refresh_bronze(spark, spec, lay))
+    return bronze.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register(
+    "ingest_padded_header",
+    "SELECT " + ", ".join(
+        f'{expr} AS "{CUSTOMER_PADDED[n]}"'
+        for n, expr in [
+            ("c_custkey", "CAST(c_custkey AS VARCHAR)"),
+            ("c_name", "c_name"),
+            ("c_acctbal", "CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR)"),
+        ]
+    ) + " FROM customer",
+)
+def q_ingest_padded_header(spark, sf_dir):
+    """Bronze keeps the raw header names, padding included."""
+    from tidemark.sinks.tables import write_landing_snapshot
+    from tidemark.streaming.bronze import SourceSpec, refresh_bronze
+
+    lay = _layout(spark, "ingest_padded_header")
+    spec = SourceSpec("customer.tsv", "customer")
+    text = _customer_text(spark, sf_dir, ("c_custkey", "c_name", "c_acctbal"))
+    write_landing_snapshot(text, lay.landing, lay.source, spec.dataset, RUN_STAMP)
+    bronze = refresh_bronze(spark, spec, lay).read()
+    return bronze.select(*[F.col(f"`{CUSTOMER_PADDED[n]}`") for n in ("c_custkey", "c_name", "c_acctbal")])
+
+
+@register(
+    "ingest_registry",
+    """
+SELECT 'customer.tsv' AS dataset, 'customer_tsv' AS table_name, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'supplier.tsv', 'supplier_tsv', count(*) FROM supplier
+UNION ALL SELECT 'part.tsv', 'part_tsv', count(*) FROM part
+""",
+)
+def q_ingest_registry(spark, sf_dir):
+    """N source specs → N bronze tables, each with its own checkpoint."""
+    from tidemark.sinks.tables import write_landing_snapshot
+    from tidemark.streaming.bronze import SourceSpec, refresh_registry
+
+    lay = _layout(spark, "ingest_registry")
+    specs = [SourceSpec(f"{t}.tsv", f"{t}_tsv") for t in ("customer", "supplier", "part")]
+    for spec, t in zip(specs, ("customer", "supplier", "part")):
+        write_landing_snapshot(_q(spark, sf_dir, t), lay.landing, lay.source, spec.dataset, RUN_STAMP)
+    tables = refresh_registry(spark, specs, lay)
+    out = None
+    for spec in specs:
+        part = tables[spec.table].read().agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(spec.dataset).alias("dataset"), F.lit(spec.table).alias("table_name"), "n_rows"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register(
+    "ingest_schema_evolution",
+    """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal,
+       CAST(NULL AS VARCHAR) AS c_mktsegment, '20260101T000000Z' AS _ingest_ts FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR), c_mktsegment,
+       '20260909T163000Z' FROM customer
+""",
+)
+def q_ingest_schema_evolution(spark, sf_dir):
+    """A later snapshot adds a column in the middle; values map by name, old rows NULL."""
+    from tidemark.sinks.tables import write_landing_snapshot
+    from tidemark.streaming.bronze import SourceSpec, refresh_bronze
+
+    lay = _layout(spark, "ingest_schema_evolution")
+    spec = SourceSpec("customer.tsv", "customer")
+    v1 = _customer_text(spark, sf_dir, ("c_custkey", "c_name", "c_acctbal"))
+    v2 = _customer_text(spark, sf_dir, ("c_custkey", "c_mktsegment", "c_name", "c_acctbal"))
+    write_landing_snapshot(v1, lay.landing, lay.source, spec.dataset, "20260101T000000Z")
+    write_landing_snapshot(v2, lay.landing, lay.source, spec.dataset, "20260909T163000Z")
+    bronze = _bronze_stripped(refresh_bronze(spark, spec, lay))
+    return bronze.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "_ingest_ts")
+
+
+@register(
+    "ingest_rescued",
+    """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal < 0 AS has_rescued,
+       CASE WHEN c_acctbal < 0 THEN c_mktsegment END AS rescued_value
+FROM customer
+""",
+)
+def q_ingest_rescued(spark, sf_dir):
+    """Over-long rows keep their columns; the surplus values go to _rescued_data."""
+    from tidemark.sinks.tables import write_landing_snapshot
+    from tidemark.streaming.bronze import SourceSpec, refresh_bronze
+
+    lay = _layout(spark, "ingest_rescued")
+    spec = SourceSpec("customer.tsv", "customer")
+    raw = _q(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("c_custkey"),
+        "c_name",
+        F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("c_acctbal"),
+        # Rows of customers with a negative balance carry one value too many.
+        F.when(F.col("c_acctbal") < 0, F.col("c_mktsegment")).alias("__extra"),
+    )
+    write_landing_snapshot(raw, lay.landing, lay.source, spec.dataset, RUN_STAMP, extra_field="__extra")
+    bronze = _bronze_stripped(refresh_bronze(spark, spec, lay))
+    return bronze.select(
+        "c_custkey", "c_name",
+        F.col("_rescued_data").isNotNull().alias("has_rescued"),
+        F.get_json_object("_rescued_data", "$._extra_values[0]").alias("rescued_value"),
+    )
+
+
+@register(
+    "ingest_provenance",
+    """
+SELECT 'supplier.tsv' AS dataset, '20260101T000000Z' AS _ingest_ts, count(*) AS n_rows, true AS has_source_file FROM supplier
+UNION ALL
+SELECT 'supplier.tsv', '20260909T163000Z', count(*), true FROM supplier
+""",
+)
+def q_ingest_provenance(spark, sf_dir):
+    """Every bronze row knows its file and the run stamp of that file."""
+    from tidemark.sinks.tables import write_landing_snapshot
+    from tidemark.streaming.bronze import SourceSpec, refresh_bronze
+
+    lay = _layout(spark, "ingest_provenance")
+    spec = SourceSpec("supplier.tsv", "supplier")
+    sup = _q(spark, sf_dir, "supplier")
+    for stamp in ("20260101T000000Z", "20260909T163000Z"):
+        write_landing_snapshot(sup, lay.landing, lay.source, spec.dataset, stamp)
+    bronze = refresh_bronze(spark, spec, lay).read()
+    return bronze.groupBy("_ingest_ts").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(F.col("_source_file").contains(F.lit(spec.dataset + "__"))).alias("has_source_file"),
+    ).select(F.lit(spec.dataset).alias("dataset"), "_ingest_ts", "n_rows", "has_source_file")
+
+
+ORACLE_POPULATION = """
+SELECT '01000US' AS nation_id, 'United States' AS nation, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS population
+FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 AND year(o_orderdate) <> 1998 GROUP BY 3
+"""
+
+
+@register("ingest_variant_json", ORACLE_POPULATION)
+def q_ingest_variant_json(spark, sf_dir):
+    """A JSON document per file → one VARIANT row → exploded, typed silver rows."""
+    from tidemark.plans.driver_landing import land_population
+    from tidemark.plans.series_specs import POPULATION
+    from tidemark.streaming.bronze import Layout, SourceSpec, refresh_bronze
+    from tidemark.streaming.silver import read_silver, refresh_silver
+
+    lay0 = _layout(spark, "ingest_variant_json")
+    lay = Layout(lay0.landing, lay0.tables, lay0.checkpoints, "datausa_population")
+    land_population(spark, sf_dir, lay, RUN_STAMP)
+    refresh_bronze(spark, SourceSpec("population", "population", fmt="json"), lay)
+    return read_silver(refresh_silver(spark, POPULATION, lay, "population"))
+
+
+@register("stream_table_read", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def q_stream_table_read(spark, sf_dir):
+    """Incremental read of an upstream table into an append-only sink."""
+    from tidemark.sinks.tables import AppendOnlyTable
+    from tidemark.streaming.silver import _run
+
+    lay = _layout(spark, "stream_table_read")
+    src = f"{lay.tables}/events_src"
+    ev = _q(spark, sf_dir, "events")
+    ev.repartition(4, "event_type").write.parquet(src)
+    sink = AppendOnlyTable(spark, f"{lay.tables}/events_copy")
+    q = (
+        spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        .writeStream.foreachBatch(lambda b, i: sink.write_batch(b, i))
+        .option("checkpointLocation", f"{lay.checkpoints}/events_copy")
+        .trigger(availableNow=True).start()
+    )
+    _run(q, "stream_table_read", 1800)
+    return sink.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_append_idempotent", "SELECT 2 AS refreshes, count(*) AS n_rows FROM customer")
+def q_stream_append_idempotent(spark, sf_dir):
+    """K1/T-2: a second refresh over the same landed files adds nothing."""
+    from tidemark.sinks.tables import write_landing_snapshot
+    from tidemark.streaming.bronze import SourceSpec, refresh_bronze
+
+    lay = _layout(spark, "stream_append_idempotent")
+    spec = SourceSpec("customer.tsv", "customer")
+    write_landing_snapshot(_customer_text(spark, sf_dir), lay.landing, lay.source, spec.dataset, RUN_STAMP)
+    refresh_bronze(spark, spec, lay)
+    table = refresh_bronze(spark, spec, lay)
+    return table.read().agg(F.lit(2).alias("refreshes"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("mv_refresh", ORACLES["agg_value_per_year"])
+def q_mv_refresh(spark, sf_dir):
+    """K4: full-recompute materialisation (overwrite), run twice, read back."""
+    from tidemark.sinks.tables import materialize
+
+    lay = _layout(spark, "mv_refresh")
+    path = f"{lay.tables}/gold/agg_value_per_year"
+    inp = star.gold_inputs(spark, sf_dir)
+    materialize(gold.agg_value_per_year_sql(spark, inp), path)
+    return materialize(gold.agg_value_per_year_sql(spark, inp), path)
+
+
+# Manifest of two fetch runs over the documents "source": run 1 lands every
+# document; run 2 classifies the revision against run 1 (ADDED/CHANGED →
+# FETCHED, UNCHANGED → UNCHANGED; REMOVED items are not fetched, so no row).
+RUN1_STAMP, RUN2_STAMP = "20260101T000000Z", "20260909T163000Z"
+
+
+def manifest_outcomes(spark, sf_dir):
+    from tidemark.operators.changes import classify_changes
+
+    docs = _q(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("item"), "text"
+    )
+    rev = documents_revision(spark, sf_dir)
+
+    def outcome(df, stamp, status, run):
+        return df.select(
+            F.lit("documents").alias("source"),
+            F.col("item").alias("dataset"),
+            F.lit(stamp).alias("ingest_ts"),
+            status.alias("status"),
+            F.when(status == "FETCHED", F.lit(200)).otherwise(F.lit(304)).alias("http_status"),
+            F.sha2("text", 256).alias("content_sha256"),
+            F.lit(None).cast("string").alias("last_modified"),
+            F.octet_length("text").cast("long").alias("bytes"),
+            F.concat(F.lit("/source/"), F.col("item")).alias("source_url"),
+            F.concat(F.lit("/landing/documents/"), F.col("item"), F.lit("/"), F.col("item"), F.lit("__" + stamp)).alias("landing_path"),
+            F.lit(run).alias("run_id"),
+            F.lit(f"{stamp[0:4]}-{stamp[4:6]}-{stamp[6:8]} {stamp[9:11]}:{stamp[11:13]}:{stamp[13:15]}").cast("timestamp").alias("fetched_at"),
+            F.lit(None).cast("string").alias("error_message"),
+        )
+
+    run1 = outcome(docs, RUN1_STAMP, F.lit("FETCHED"), "run-1")
+    prev = docs.select("item", F.sha2("text", 256).alias("fp"))
+    cur = rev.select("item", "text", F.sha2("text", 256).alias("fp"))
+    changes = classify_changes(cur.select("item", "fp"), prev, "item", "fp").filter(F.col("status") != "REMOVED")
+    run2_in = cur.join(changes.select("item", "status"), "item")
+    st = F.when(F.col("status") == "UNCHANGED", F.lit("UNCHANGED")).otherwise(F.lit("FETCHED"))
+    run2 = outcome(run2_in, RUN2_STAMP, st, "run-2")
+    return run1, run2
+
+
+ORACLE_MANIFEST = _with(ORACLE_DOC_SNAPSHOTS, """
+, curtext AS (SELECT 'doc-' || CAST(min(doc_id) AS VARCHAR) AS item, regexp_replace(text, '[ \t]+', ' ', 'g') AS text
+              FROM documents GROUP BY text
+              UNION ALL SELECT 'bench-' || CAST(item_id AS VARCHAR), text FROM benchmark),
+run1 AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS item, text, 'FETCHED' AS status,
+                '20260101T000000Z' AS stamp, 'run-1' AS run_id, TIMESTAMP '2026-01-01 00:00:00' AS fetched_at FROM documents),
+run2 AS (SELECT c.item, c.text,
+                CASE WHEN p.fp = sha256(c.text) THEN 'UNCHANGED' ELSE 'FETCHED' END AS status,
+                '20260909T163000Z' AS stamp, 'run-2' AS run_id, TIMESTAMP '2026-09-09 16:30:00' AS fetched_at
+         FROM curtext c LEFT JOIN prev p ON c.item = p.item),
+runs AS (SELECT * FROM run1 UNION ALL SELECT * FROM run2)
+SELECT 'documents' AS source, item AS dataset, stamp AS ingest_ts, status,
+       CAST(CASE WHEN status = 'FETCHED' THEN 200 ELSE 304 END AS INTEGER) AS http_status,
+       sha256(text) AS content_sha256, CAST(NULL AS VARCHAR) AS last_modified,
+       CASE WHEN status = 'FETCHED' THEN CAST(octet_length(encode(text)) AS BIGINT) END AS bytes,
+       '/source/' || item AS source_url,
+       CASE WHEN status = 'FETCHED' THEN '/landing/documents/' || item || '/' || item || '__' || stamp END AS landing_path,
+       run_id, fetched_at, CAST(NULL AS VARCHAR) AS error_message
+FROM runs
+""")
+
+
+def _manifest_table(spark, sf_dir):
+    from tidemark.sinks.manifest import append_manifest
+    from tidemark.sinks.tables import AppendOnlyTable
+
+    lay = _layout(spark, "manifest")
+    table = AppendOnlyTable(spark, f"{lay.tables}/source_manifest")
+    run1, run2 = manifest_outcomes(spark, sf_dir)
+    append_manifest(table, run1, 1)
+    append_manifest(table, run2, 2)
+    append_manifest(table, run2, 2)  # replaying a run replaces it, never duplicates
+    return table
+
+
+@register("manifest_append", ORACLE_MANIFEST)
+def q_manifest_append(spark, sf_dir):
+    """Append-only ledger, one row per item per run, NULL rules by status."""
+    from tidemark.sinks.manifest import MANIFEST_COLUMNS
+
+    return _manifest_table(spark, sf_dir).read().select(*[n for n, _ in MANIFEST_COLUMNS])
+
+
+@register(
+    "manifest_last_known",
+    ORACLE_MANIFEST.rsplit("SELECT 'documents' AS source", 1)[0]
+    + """
+, m AS (SELECT item AS dataset, stamp AS ingest_ts, status, sha256(text) AS content_sha256 FROM runs)
+SELECT dataset, ingest_ts, content_sha256, CAST(NULL AS VARCHAR) AS last_modified FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY ingest_ts DESC) AS rn FROM m WHERE status = 'FETCHED') t
+WHERE rn = 1
+""",
+)
+def q_manifest_last_known(spark, sf_dir):
+    """Latest FETCHED state per dataset, read back from the ledger."""
+    from tidemark.sinks.manifest import last_known_state
+
+    return last_known_state(_manifest_table(spark, sf_dir).read(), "documents")
+
+
+@register("compact_table", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_compact_table(spark, sf_dir):
+    """K7/K9: same rows in fewer files, range-clustered on a key."""
+    from tidemark.sinks.maintenance import compact, file_stats
+    from tidemark.sinks.tables import VersionedTable
+
+    lay = _layout(spark, "compact_table")
+    table = VersionedTable(spark, f"{lay.tables}/events")
+    table.commit(_q(spark, sf_dir, "events").repartition(50))
+    before, _ = file_stats(table.read())
+    compact(table, cluster_by=["event_type", "ts"])
+    after, _ = file_stats(table.read())
+    if not after < before:
+        raise AssertionError(f"compaction did not reduce files: {before} → {after}")
+    return table.read()
+
+
+@register("retain_versions")
+def q_retain_versions(spark, sf_dir):
+    """K8: versions retention would remove (dry run): every non-current version."""
+    from tidemark.sinks.maintenance import retain, retention_plan
+    from tidemark.sinks.tables import VersionedTable
+
+    lay = _layout(spark, "retain_versions")
+    table = VersionedTable(spark, f"{lay.tables}/events")
+    ev = _q(spark, sf_dir, "events")
+    for etype in ("click", "view", "purchase"):
+        table.commit(ev.filter(F.col("event_type") != etype))
+    retain(table, older_than_hours=0, dry_run=True)
+    return retention_plan(table, older_than_hours=0).select("version", "path")
