@@ -1143,3 +1143,148 @@ def q_retain_versions(spark, sf_dir):
         table.commit(ev.filter(F.col("event_type") != etype))
     retain(table, older_than_hours=0, dry_run=True)
     return retention_plan(table, older_than_hours=0).select("version", "path")
+
+
+# ====================================================================== SCD1 convergence (replay, stream state)
+
+LATEST_EVENT_PER_USER = """
+SELECT user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) t
+WHERE rn = 1
+"""
+# The events table split into micro-batches by event type, applied in this
+# order and then replayed in reverse: a merge that is a maximum per key
+# converges to the same table whatever the order and however often replayed.
+REPLAY_ORDER = ("view", "error", "signup", "click", "purchase")
+
+
+@register("scd1_replay", LATEST_EVENT_PER_USER)
+def q_scd1_replay(spark, sf_dir):
+    """Out-of-order and replayed batches converge; every merge is a committed version."""
+    from tidemark.operators.cdc import publish, scd1_merge
+    from tidemark.sinks.tables import VersionedTable
+
+    lay = _layout(spark, "scd1_replay")
+    table = VersionedTable(spark, f"{lay.tables}/latest_event")
+    ev = _q(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    seq, payload = ["ts", "event_id"], ["event_type", "value"]
+    types = list(REPLAY_ORDER)
+    known = [r[0] for r in ev.select("event_type").distinct().collect()]
+    types += sorted(t for t in known if t not in types)  # any other type still gets merged
+    for i, etype in enumerate(types + types[::-1]):
+        batch = ev.filter(F.col("event_type") == etype)
+        table.commit(scd1_merge(table.read(), batch, ["user_id"], seq, payload), batch_id=i, stream="replay")
+    return publish(table.read(), seq)
+
+
+@register("scd1_stream_state", LATEST_EVENT_PER_USER)
+def q_scd1_stream_state(spark, sf_dir):
+    """Latest row per key kept in the streaming state store, one file per micro-batch."""
+    from tidemark.operators.cdc import publish
+    from tidemark.sinks.tables import VersionedTable
+    from tidemark.streaming.silver import upsert_stream
+
+    lay = _layout(spark, "scd1_stream_state")
+    src = f"{lay.tables}/events_src"
+    ev = _q(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    ev.repartition(5, "event_type").write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    table = VersionedTable(spark, f"{lay.tables}/latest_event")
+    upsert_stream(stream, ["user_id"], ["ts", "event_id"], ["event_type", "value"], table,
+                  f"{lay.checkpoints}/latest_event", "scd1_stream_state", stateful=True)
+    return publish(table.read(), ["ts", "event_id"])
+
+
+@register("scd1_stream_merge", LATEST_EVENT_PER_USER)
+def q_scd1_stream_merge(spark, sf_dir):
+    """Stateless stream, each micro-batch merged into the versioned table in foreachBatch."""
+    from tidemark.operators.cdc import publish
+    from tidemark.sinks.tables import VersionedTable
+    from tidemark.streaming.silver import upsert_stream
+
+    lay = _layout(spark, "scd1_stream_merge")
+    src = f"{lay.tables}/events_src"
+    ev = _q(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    ev.repartition(5, "event_type").write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    table = VersionedTable(spark, f"{lay.tables}/latest_event")
+    upsert_stream(stream, ["user_id"], ["ts", "event_id"], ["event_type", "value"], table,
+                  f"{lay.checkpoints}/latest_event", "scd1_stream_merge", stateful=False)
+    return publish(table.read(), ["ts", "event_id"])
+
+
+# ====================================================================== the product end to end
+
+_MEDALLION = {}
+
+
+def _medallion(spark, sf_dir):
+    """Land the driver tables as raw snapshots, then refresh bronze → silver → gold once per process."""
+    from tidemark.plans.driver_landing import land_series_product
+    from tidemark.plans.medallion import refresh_everything
+
+    from tidemark.plans.medallion import SERIES_SOURCE
+    from tidemark.streaming.bronze import Layout
+
+    key = (id(spark), sf_dir)
+    if key not in _MEDALLION:
+        scratch = _layout(spark, "medallion")
+        lay = Layout(scratch.landing, scratch.tables, scratch.checkpoints, SERIES_SOURCE)
+        land_series_product(spark, sf_dir, lay)
+        refresh_everything(spark, lay)
+        _MEDALLION[key] = lay
+    return _MEDALLION[key]
+
+
+@register(
+    "medallion_agg_value_per_year",
+    _with(star.ORACLE_STAR_CTE, f"""
+, yearly AS (SELECT series_id, year, CAST(round(sum(CAST(value AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+             FROM facts WHERE period <> 'Q05' GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY summed_value DESC, year ASC) = 1 AS is_best_year
+           FROM yearly)
+SELECT CAST(r.series_id AS VARCHAR) AS series_id, l.sector_name, l.measure_text, l.class_text, l.duration_text, l.seasonal_text,
+       {star.ORACLE_LABEL} AS label, CAST(r.year AS INTEGER) AS year, r.summed_value, r.is_best_year, p.population
+FROM ranked r LEFT JOIN labels l ON r.series_id = l.series_id LEFT JOIN population p ON r.year = p.year
+"""),
+)
+def q_medallion_agg_value_per_year(spark, sf_dir):
+    """Landing → bronze → silver (gated SCD1 over two restated snapshots) → gold, end to end."""
+    lay = _medallion(spark, sf_dir)
+    return spark.read.parquet(lay.table_path("gold", "agg_value_per_year"))
+
+
+@register(
+    "medallion_value_per_quarter",
+    _with(star.ORACLE_STAR_CTE, f"""
+, ranked AS (SELECT series_id, year, period, CAST(value AS DOUBLE) AS value,
+                    row_number() OVER (PARTITION BY series_id, period ORDER BY CAST(value AS DOUBLE) DESC, year ASC) = 1
+                        AS best_year_per_quarter
+             FROM facts WHERE period <> 'Q05')
+SELECT CAST(r.series_id AS VARCHAR) AS series_id, l.sector_name, l.measure_text, l.class_text, l.duration_text, l.seasonal_text,
+       {star.ORACLE_LABEL} AS label, CAST(r.year AS INTEGER) AS year, r.period, r.value, r.best_year_per_quarter, p.population
+FROM ranked r LEFT JOIN labels l ON r.series_id = l.series_id LEFT JOIN population p ON r.year = p.year
+"""),
+)
+def q_medallion_value_per_quarter(spark, sf_dir):
+    """G3 over the refreshed silver tables."""
+    lay = _medallion(spark, sf_dir)
+    return spark.read.parquet(lay.table_path("gold", "value_per_quarter"))
+
+
+@register(
+    "medallion_quarantine",
+    """
+SELECT rule, n FROM (
+  SELECT 'plausible_year' AS rule, 2 * count(*) AS n FROM supplier
+  UNION ALL SELECT 'valid_period', count(*) FROM supplier
+  UNION ALL SELECT 'valid_year', count(*) FROM supplier) t
+""",
+)
+def q_medallion_quarantine(spark, sf_dir):
+    """D3: rows the silver gate rejected, counted per failed rule."""
+    from tidemark.streaming.silver import read_quarantine
+
+    lay = _medallion(spark, sf_dir)
+    rejected = read_quarantine(spark, lay, "pr_data")
+    return rejected.select(F.explode("_failed_rules").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))

@@ -153,3 +153,34 @@ def read_silver(table: VersionedTable) -> DataFrame | None:
 
 def read_quarantine(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return AppendOnlyTable(spark, layout.table_path("quarantine", name)).read()
+
+
+def upsert_stream(
+    stream: DataFrame,
+    keys: list[str],
+    sequence: list[str],
+    payload: list[str],
+    target: VersionedTable,
+    checkpoint: str,
+    name: str,
+    stateful: bool = False,
+    timeout_s: int = DEFAULT_TIMEOUT_S,
+) -> VersionedTable:
+    """Generic SCD1 upsert of any streaming DataFrame into a versioned table.
+
+    ``stateful=False``: each micro-batch is merged with the table (stateless
+    stream). ``stateful=True``: the latest row per key is kept in the state
+    store and only changed keys are merged.
+    """
+    source = latest_per_key(stream, keys, sequence, payload, keep_sequence=True) if stateful else stream
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if target.committed_batch(batch_id, name):
+            return
+        target.commit(scd1_merge(target.read(), batch, keys, sequence, payload), batch_id, name)
+
+    writer = source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if stateful:
+        writer = writer.outputMode("update")
+    _run(writer.trigger(availableNow=True).queryName(name).start(), name, timeout_s)
+    return target
