@@ -63,7 +63,7 @@ def retain(table: VersionedTable, older_than_hours: float = 168, dry_run: bool =
     works on any storage Spark can write to.
     """
     plan = retention_plan(table, older_than_hours)
-    versions = [int(r["version"]) for r in plan.select("version").collect()]
+    versions = sorted(int(r["version"]) for r in plan.select("version").collect())
     if not dry_run and versions:
         spark = table.spark
         jvm = spark.sparkContext._jvm
