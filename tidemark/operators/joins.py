@@ -1,9 +1,17 @@
-"""Dimension joins with a checked broadcast and key-uniqueness guard.
+"""Dimension joins: size-checked broadcast and key-uniqueness guard.
 
-A dimension is broadcast only after its row count is proven below a bound
-(``limit(bound + 1).count()`` reads at most bound + 1 rows). Above the bound
-the join is left to Catalyst/AQE, which picks a shuffle join and, with AQE,
-can still switch to a broadcast at runtime from actual sizes.
+Broadcast policy. No join here carries an unconditional broadcast hint.
+Spark itself checks the size before broadcasting a side:
+
+* at planning time, from file/statistics estimates, against
+  ``spark.sql.autoBroadcastJoinThreshold``;
+* at run time (AQE), from the *measured* shuffle output of the side,
+  against ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+
+Above the threshold the join stays a sort-merge (or shuffled-hash) join,
+with AQE's skew-join splitting for hot keys. ``policy="counted"`` adds an
+explicit hint only after a distributed ``count()`` proves the side small
+(for inputs without usable statistics); it costs one scan of that side.
 """
 
 from __future__ import annotations
@@ -13,24 +21,25 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension above this many rows is joined with a shuffle join instead.
+# A side above this many rows is never hinted for broadcast.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def rows_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows (scans at most bound + 1)."""
-    return df.limit(bound + 1).count() <= bound
+    """True when ``df`` has at most ``bound`` rows (one distributed count)."""
+    return df.count() <= bound
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
+    """``broadcast(df)`` when a count proves it small, else ``df`` unchanged."""
     return F.broadcast(df) if rows_at_most(df, max_rows) else df
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> DataFrame:
     """Fail fast when ``keys`` repeat in ``df``: a join on them would fan out rows.
 
-    The check is one partial+final aggregation over ``df``.
+    One partial+final aggregation over ``df``; only key values occurring
+    twice or more reach the driver, and at most one of them.
     """
     dupes = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
     if dupes:
@@ -38,12 +47,21 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> Da
     return df
 
 
+def prepare_side(df: DataFrame, policy: str = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Apply the broadcast policy to a join side ('auto' = Spark's own size checks)."""
+    if policy == "auto":
+        return df
+    if policy == "counted":
+        return sized_broadcast(df, max_rows)
+    raise ValueError(f"unknown broadcast policy {policy}")
+
+
 @dataclass(frozen=True)
 class Dim:
     """One label dimension of a star: ``table`` joined on ``left_key == right_key``.
 
     Only ``columns`` (plus the key) are read from the dimension, so the scan
-    is pruned to them.
+    is pruned to them. ``condition`` filters the dimension before the join.
     """
 
     table: DataFrame
@@ -57,41 +75,31 @@ def star_join(
     facts: DataFrame,
     dims: list[Dim],
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    check_unique: bool = True,
+    policy: str = "auto",
+    check_unique: bool = False,
 ) -> DataFrame:
     """Left-join each dimension in order (a later dim may key off an earlier one).
 
     Keys may be named differently on the two sides; the dimension key column
-    is dropped after the join. Each dimension must be unique on its key, or
-    fact rows would multiply: asserted for dimensions small enough to
-    broadcast, a primary-key contract for larger ones.
+    is dropped after the join. A dimension must be unique on its key or fact
+    rows multiply: SCD1 tables are unique by construction; pass
+    ``check_unique=True`` to assert it for other inputs (one aggregation each).
     """
     out = facts
     for d in dims:
-        right = d.table.select(F.col(d.right_key).alias("__dim_key"), *d.columns)
-        if d.condition is not None:
-            right = d.table.filter(d.condition).select(F.col(d.right_key).alias("__dim_key"), *d.columns)
-        if rows_at_most(right, max_broadcast_rows):
-            # Small: prove the key unique (cheap at this size), then broadcast.
-            if check_unique:
-                assert_unique(right, ["__dim_key"], what=f"dimension on {d.right_key}")
-            right = F.broadcast(right)
-        # Large: a shuffle join chosen by Catalyst/AQE; key uniqueness is the
-        # dimension's primary-key contract (checking it would cost a full shuffle).
+        right = d.table if d.condition is None else d.table.filter(d.condition)
+        right = right.select(F.col(d.right_key).alias("__dim_key"), *d.columns)
+        if check_unique:
+            assert_unique(right, ["__dim_key"], what=f"dimension on {d.right_key}")
+        right = prepare_side(right, policy)
         out = out.join(right, out[d.left_key] == right["__dim_key"], how).drop("__dim_key")
     return out
 
 
-def sparse_dim_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: list[str],
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
+def sparse_dim_join(facts: DataFrame, dim: DataFrame, keys: list[str], policy: str = "auto") -> DataFrame:
     """Left join to a dimension that covers only some key values (misses stay NULL).
 
     The dimension must be unique on ``keys`` (asserted) so no fact row is duplicated.
     """
     assert_unique(dim, keys, what="sparse dimension")
-    return facts.join(sized_broadcast(dim, max_broadcast_rows), keys, "left")
+    return facts.join(prepare_side(dim, policy), keys, "left")

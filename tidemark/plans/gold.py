@@ -9,7 +9,8 @@ Inputs (any DataFrames with these columns):
 Plan shape of ``agg_value_per_year`` (see ``.explain``): scan with the Q05
 filter pushed into parquet → partial hash aggregate → exchange on
 (series_id, year) → final aggregate → exchange on series_id (over the
-aggregated rows only) → window → broadcast left joins. Shuffling raw fact
+aggregated rows only) → window → left joins that Spark broadcasts after
+checking the dimension sizes (statically or, with AQE, at run time). Shuffling raw fact
 rows by series_id to save the second exchange would send every row of a hot
 series to one task; aggregating first keeps that exchange tiny.
 """
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.labels import LABEL_SQL, LABEL_TEXT_COLUMNS, compose_label
-from tidemark.operators.aggregates import exact_rounded_sum
-from tidemark.operators.joins import assert_unique, sized_broadcast
+from tidemark.operators.aggregates import EXACT_ROUNDED_SUM_SQL, exact_rounded_sum
+from tidemark.operators.joins import assert_unique
 from tidemark.operators.ranking import flag_best
 
 # The period code of the annual average, excluded from sums.
@@ -43,11 +44,20 @@ class GoldInputs:
     labels: DataFrame
     population: DataFrame
 
+    check_labels: bool = False
+
     def checked(self) -> "GoldInputs":
-        """Assert the join keys are unique and broadcast the small sides (size-checked)."""
-        labels = assert_unique(self.labels, ["series_id"], "labels")
+        """Guard the joins against fan-out.
+
+        Population is keyed by (nation, year) upstream but joined on year
+        alone, so a second nation would duplicate every fact row: asserted
+        here (one small aggregation). Labels are unique by construction when
+        built from SCD1 tables; ``check_labels`` asserts it for other inputs.
+        Broadcast is left to Spark's size checks (see ``operators.joins``).
+        """
         population = assert_unique(self.population.select("year", "population"), ["year"], "population")
-        return GoldInputs(self.facts, sized_broadcast(labels), sized_broadcast(population))
+        labels = assert_unique(self.labels, ["series_id"], "labels") if self.check_labels else self.labels
+        return GoldInputs(self.facts, labels, population)
 
 
 def _label_columns(labelled: DataFrame) -> DataFrame:
@@ -73,7 +83,7 @@ def agg_value_per_year_df(inp: GoldInputs) -> DataFrame:
 AGG_VALUE_PER_YEAR_SQL = f"""
 WITH yearly AS (
     SELECT series_id, year,
-           CAST(ROUND(SUM(CAST(value AS DECIMAL(30, 6))), 1) AS DOUBLE) AS summed_value
+           {EXACT_ROUNDED_SUM_SQL.format(v="value", d=1)} AS summed_value
     FROM {{facts}}
     WHERE period != :annual
     GROUP BY series_id, year
