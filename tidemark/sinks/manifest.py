@@ -77,3 +77,75 @@ def last_known_state(manifest: DataFrame, source: str) -> DataFrame:
     return top_row_per_group(
         fetched, ["dataset"], ["ingest_ts", "fetched_at"], ["ingest_ts", "content_sha256", "last_modified"]
     )
+
+
+def snapshot_fingerprint(snapshot: DataFrame, sep: str = "\t") -> DataFrame:
+    """One row (content_sha256, bytes) for a delimited snapshot, computed in tasks.
+
+    The fingerprint covers the header and the multiset of data lines (sum of
+    64-bit line hashes and line count, combined map-side), so no snapshot is
+    ever gathered into one task and row order does not matter.
+    """
+    from tidemark.sinks.tables import snapshot_lines
+
+    line = snapshot_lines(snapshot, sep)
+    header = sep.join(snapshot.columns)
+    agg = snapshot.select(line.alias("line")).agg(
+        F.sum(F.xxhash64("line").cast("decimal(38,0)")).alias("h"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length("line") + 1).alias("bytes"),
+    )
+    return agg.select(
+        F.sha2(F.concat_ws(":", F.lit(header), F.coalesce(F.col("h"), F.lit(0)).cast("string"), F.col("n").cast("string")), 256)
+        .alias("content_sha256"),
+        (F.coalesce(F.col("bytes"), F.lit(0)) + F.lit(len(header.encode("utf-8")) + 1)).cast("long").alias("bytes"),
+    )
+
+
+def record_landing(
+    spark,
+    snapshot: DataFrame,
+    landing_base: str,
+    source: str,
+    dataset: str,
+    stamp: str,
+    manifest: AppendOnlyTable,
+    run_seq: int,
+    run_id: str = "local",
+    source_url: str | None = None,
+    after_landing=None,
+) -> str | None:
+    """Fetch-and-land one snapshot with change detection; data first, audit row last.
+
+    The snapshot's fingerprint is compared with the last FETCHED state of the
+    dataset in the ledger: equal → an UNCHANGED row and nothing is landed;
+    otherwise (or on first sighting) the snapshot is landed and then a
+    FETCHED row is appended. A failure between landing and the append
+    leaves a landed snapshot without a row; the next run lands again under
+    its own stamp and records that, and the duplicate content collapses in
+    the SCD1 upsert downstream. ``after_landing`` is called between the two
+    steps (tests inject failures there). Returns the landing path, or None
+    when unchanged.
+    """
+    from tidemark.sinks.tables import write_landing_snapshot
+
+    fp = snapshot_fingerprint(snapshot).first()
+    known = None
+    if manifest.exists():
+        last = last_known_state(manifest.read(), source).filter(F.col("dataset") == dataset).first()
+        known = None if last is None else last["content_sha256"]
+    unchanged = known is not None and known == fp["content_sha256"]
+    path = None
+    if not unchanged:
+        path = write_landing_snapshot(snapshot, landing_base, source, dataset, stamp)
+        if after_landing is not None:
+            after_landing(path)
+    row = spark.createDataFrame(
+        [(source, dataset, stamp, UNCHANGED if unchanged else FETCHED, 200, fp["content_sha256"], None,
+          fp["bytes"], source_url or f"{source}/{dataset}", path, run_id, None)],
+        "source string, dataset string, ingest_ts string, status string, http_status int, content_sha256 string, "
+        "last_modified string, bytes bigint, source_url string, landing_path string, run_id string, "
+        "error_message string",
+    ).withColumn("fetched_at", F.current_timestamp())
+    append_manifest(manifest, row, run_seq)
+    return path

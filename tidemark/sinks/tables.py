@@ -27,6 +27,15 @@ from tidemark.functions.text import INGEST_TS_SUFFIX_SEP
 
 # ---------------------------------------------------------------- landing
 
+def snapshot_lines(df: DataFrame, sep: str = "\t", extra_field: str | None = None):
+    """The data lines of a delimited snapshot as one column named by the header line."""
+    header = [c for c in df.columns if c != extra_field]
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in header]
+    if extra_field is not None:
+        values.append(F.col(f"`{extra_field}`"))  # concat_ws skips it where NULL
+    return F.concat_ws(sep, *values).alias(sep.join(header))
+
+
 def write_landing_snapshot(
     df: DataFrame,
     base: str,
@@ -47,11 +56,7 @@ def write_landing_snapshot(
     refuses to write where a snapshot already exists.
     """
     path = f"{base.rstrip('/')}/{source}/{dataset}/{filename or dataset}{INGEST_TS_SUFFIX_SEP}{stamp}"
-    header = [c for c in df.columns if c != extra_field]
-    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in header]
-    if extra_field is not None:
-        values.append(F.col(f"`{extra_field}`"))  # concat_ws skips it where NULL
-    line = F.concat_ws(sep, *values).alias(sep.join(header))
+    line = snapshot_lines(df, sep, extra_field)
     (
         df.select(line).write.mode("errorifexists")
         .option("header", True)

@@ -19,12 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import ingest_ts_from_path
+from tidemark.operators.quality import Rule, expect
 from tidemark.session import path_exists
 from tidemark.sinks.tables import AppendOnlyTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE, read_delimited_lines
 
 DEFAULT_TIMEOUT_S = 1800
 
+# Warn-only expectations of bronze tables: rows are always kept; failures
+# are counted per micro-batch into the table's expectation log.
+DELIMITED_RULES = (Rule("no_rescued_data", "_rescued_data IS NULL"),)
+JSON_RULES = (Rule("value_present", "value IS NOT NULL"),)
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -84,17 +90,34 @@ def _discover(spark: SparkSession, spec: SourceSpec, directory: str, max_files:
     raise ValueError(f"unknown format {spec.fmt}")
 
 
-def _bronze_batch(spec: SourceSpec, table: AppendOnlyTable):
+def _bronze_batch(spec: SourceSpec, table: AppendOnlyTable, expectations: AppendOnlyTable):
+    rules = list(DELIMITED_RULES if spec.fmt == "delimited" else JSON_RULES)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         if spec.fmt == "delimited":
             out = read_delimited_lines(batch, spec.sep)
         else:
             out = batch.withColumn(INGEST_TS, ingest_ts_from_path(F.col(SOURCE_FILE)))
-        table.write_batch(out.withColumn(INGESTED_AT, F.current_timestamp()), batch_id)
+        # The rule counts ride along with the write (no second pass over the batch).
+        observed, obs = expect(out.withColumn(INGESTED_AT, F.current_timestamp()), rules, f"{spec.table}_{batch_id}")
+        table.write_batch(observed, batch_id)
+        metrics = obs.get
+        expectations.write_batch(
+            batch.sparkSession.createDataFrame(
+                [(int(batch_id), r.name, int(metrics.get(r.name, 0)), int(metrics.get("rows", 0))) for r in rules],
+                "batch_id long, rule string, failed long, n_rows long",
+            ),
+            batch_id,
+        )
 
     return handle
 
 
+def expectation_log(spark: SparkSession, layout: "Layout", table: str) -> DataFrame:
+    """Per micro-batch and rule: rows that failed a warn-only bronze expectation."""
+    return AppendOnlyTable(spark, layout.table_path("_expectations", table)).read()
+
+
 def refresh_bronze(
     spark: SparkSession,
     spec: SourceSpec,
@@ -110,7 +133,8 @@ def refresh_bronze(
         # into a table that already holds them: refuse instead of duplicating.
         raise RuntimeError(f"bronze table {spec.table} has data but no checkpoint at {checkpoint}")
     stream = _discover(spark, spec, layout.landing_dir(spec), max_files_per_trigger)
-    writer = stream.writeStream.foreachBatch(_bronze_batch(spec, table)).option("checkpointLocation", checkpoint)
+    expectations = AppendOnlyTable(spark, layout.table_path("_expectations", spec.table))
+    writer = stream.writeStream.foreachBatch(_bronze_batch(spec, table, expectations)).option("checkpointLocation", checkpoint)
     q = writer.trigger(availableNow=True).queryName(f"bronze_{spec.table}").start()
     if not q.awaitTermination(timeout_s):
         q.stop()
