@@ -47,6 +47,27 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> Da
     return df
 
 
+def checked_dimension(df: DataFrame, keys: list[str] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS, what: str = "dimension") -> DataFrame:
+    """Prove a dimension's size (and key uniqueness) in one job; hint broadcast only below the bound.
+
+    For dimensions derived by joins Spark has no usable static size estimate
+    (it multiplies the sizes of the join inputs), so it would plan a shuffle
+    of the fact side that AQE can only undo after that shuffle has run. With
+    ``keys``: one aggregation gives row count and the largest key
+    multiplicity (a repeated key raises: the join would fan out fact rows).
+    Without: one distributed count. Above ``max_rows`` the side is returned
+    unhinted and the join stays a shuffle join.
+    """
+    if keys:
+        r = df.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
+        if (r["dup"] or 0) > 1:
+            raise ValueError(f"{what} key {keys} is not unique (a key occurs {r['dup']} times)")
+        rows = r["rows"] or 0
+    else:
+        rows = df.count()
+    return F.broadcast(df) if rows <= max_rows else df
+
+
 def prepare_side(df: DataFrame, policy: str = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Apply the broadcast policy to a join side ('auto' = Spark's own size checks)."""
     if policy == "auto":

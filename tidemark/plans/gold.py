@@ -9,8 +9,8 @@ Inputs (any DataFrames with these columns):
 Plan shape of ``agg_value_per_year`` (see ``.explain``): scan with the Q05
 filter pushed into parquet → partial hash aggregate → exchange on
 (series_id, year) → final aggregate → exchange on series_id (over the
-aggregated rows only) → window → left joins that Spark broadcasts after
-checking the dimension sizes (statically or, with AQE, at run time). Shuffling raw fact
+aggregated rows only) → window → broadcast left joins to the label and
+population dimensions, each hinted only after a count proved it small. Shuffling raw fact
 rows by series_id to save the second exchange would send every row of a hot
 series to one task; aggregating first keeps that exchange tiny.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.labels import LABEL_SQL, LABEL_TEXT_COLUMNS, compose_label
 from tidemark.operators.aggregates import EXACT_ROUNDED_SUM_SQL, exact_rounded_sum
-from tidemark.operators.joins import assert_unique
+from tidemark.operators.joins import checked_dimension
 from tidemark.operators.ranking import flag_best
 
 # The period code of the annual average, excluded from sums.
@@ -47,16 +47,16 @@ class GoldInputs:
     check_labels: bool = False
 
     def checked(self) -> "GoldInputs":
-        """Guard the joins against fan-out.
+        """Guard the joins against fan-out and size-check the broadcast sides (two small jobs).
 
         Population is keyed by (nation, year) upstream but joined on year
-        alone, so a second nation would duplicate every fact row: asserted
-        here (one small aggregation). Labels are unique by construction when
-        built from SCD1 tables; ``check_labels`` asserts it for other inputs.
-        Broadcast is left to Spark's size checks (see ``operators.joins``).
+        alone, so a second nation would duplicate every fact row: asserted.
+        Labels are unique by construction when built from SCD1 tables;
+        ``check_labels`` asserts it for other inputs. Each side is broadcast
+        only when its counted size is below the bound.
         """
-        population = assert_unique(self.population.select("year", "population"), ["year"], "population")
-        labels = assert_unique(self.labels, ["series_id"], "labels") if self.check_labels else self.labels
+        population = checked_dimension(self.population.select("year", "population"), ["year"], what="population")
+        labels = checked_dimension(self.labels, ["series_id"] if self.check_labels else None, what="labels")
         return GoldInputs(self.facts, labels, population)
 
 

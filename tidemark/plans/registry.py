@@ -451,14 +451,31 @@ FROM cur FULL OUTER JOIN prev ON cur.item = prev.item
 """),
 )
 def q_change_detection(spark, sf_dir):
-    """ADDED / CHANGED / UNCHANGED / REMOVED between two whole snapshots."""
+    """ADDED / CHANGED / UNCHANGED / REMOVED between two whole snapshots.
+
+    Only fingerprints are shuffled: every text is hashed inside its scan
+    task (raw and whitespace-normalised), the copy collapse groups 64-byte
+    hashes, and the full outer join pairs items by key.
+    """
     from tidemark.operators.changes import classify_changes
 
-    prev = _q(spark, sf_dir, "documents").select(
-        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("item"), F.sha2("text", 256).alias("fp")
+    docs = _q(spark, sf_dir, "documents")
+    item = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+    prev = docs.select(item.alias("item"), F.sha2("text", 256).alias("fp"))
+    kept = (
+        docs.select(
+            "doc_id",
+            F.sha2("text", 256).alias("raw_fp"),
+            F.sha2(F.regexp_replace("text", WS_RUN, " "), 256).alias("fp"),
+        )
+        .groupBy("raw_fp")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("fp"))
+        .select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("item"), "fp")
+    )
+    added = _q(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("bench-"), F.col("item_id").cast("string")).alias("item"), F.sha2("text", 256).alias("fp")
     )
-    cur = documents_revision(spark, sf_dir).select("item", F.sha2("text", 256).alias("fp"))
-    return classify_changes(cur, prev, "item", "fp")
+    return classify_changes(kept.unionByName(added), prev, "item", "fp")
 
 
 @register(
