@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import Dim, star_join
 from tidemark.plans import gold
 from tidemark.plans.series_specs import BRONZE_SOURCES, SILVER_FROM_BRONZE, silver_specs
-from tidemark.session import scratch_path
+from tidemark.session import path_exists, scratch_path
 from tidemark.sinks.tables import VersionedTable, materialize
-from tidemark.streaming.bronze import Layout, SourceSpec, refresh_bronze
-from tidemark.streaming.silver import read_silver, refresh_silver
+from tidemark.streaming.bronze import Layout, SourceSpec, await_query, start_bronze
+from tidemark.streaming.silver import read_silver, start_silver
 
 # The two landing sources of the product.
 SERIES_SOURCE = "bls_pr"
@@ -57,23 +57,26 @@ def layout_for(layout: Layout, spec: SourceSpec) -> Layout:
 
 
 def refresh_all_bronze(spark: SparkSession, layout: Layout, specs: list[SourceSpec] = BRONZE_SOURCES, only: set[str] | None = None) -> None:
-    from tidemark.session import path_exists
-
+    """Refresh every bronze table that has landed files; the streams run concurrently."""
+    started = []
     for spec in specs:
         lay = layout_for(layout, spec)
         if (only is None or spec.table in only) and path_exists(spark, lay.landing_dir(spec)):
-            refresh_bronze(spark, spec, lay)
+            started.append(start_bronze(spark, spec, lay)[0])
+    for q in started:
+        await_query(q)
 
 
 def refresh_all_silver(spark: SparkSession, layout: Layout, max_year: int = 2100, only: set[str] | None = None) -> dict[str, VersionedTable]:
-    from tidemark.session import path_exists
-
-    out = {}
+    """Refresh every silver table whose bronze table exists; the streams run concurrently."""
+    started = {}
     for name, spec in silver_specs(max_year).items():
         bronze = SILVER_FROM_BRONZE[name]
         if (only is None or name in only) and path_exists(spark, layout.table_path("bronze", bronze)):
-            out[name] = refresh_silver(spark, spec, layout, bronze)
-    return out
+            started[name] = start_silver(spark, spec, layout, bronze)
+    for q, _ in started.values():
+        await_query(q)
+    return {name: table for name, (_, table) in started.items()}
 
 
 def silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
@@ -125,11 +128,9 @@ def refresh_gold(spark: SparkSession, layout: Layout, stats_years: tuple[int, in
     }
 
 
-def refresh_everything(spark: SparkSession, layout: Layout, max_year: int = 2100) -> dict[str, DataFrame]:
+def refresh_everything(
+    spark: SparkSession, layout: Layout, max_year: int = 2100, stats_years: tuple[int, int] = POPULATION_STATS_YEARS
+) -> dict[str, DataFrame]:
     refresh_all_bronze(spark, layout)
     refresh_all_silver(spark, layout, max_year)
-    return refresh_gold(spark, layout)
-
-
-def column_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))
+    return refresh_gold(spark, layout, stats_years)

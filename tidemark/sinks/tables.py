@@ -17,12 +17,14 @@ the driver or on an executor's local disk.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import INGEST_TS_SUFFIX_SEP
+from tidemark.session import path_exists
 
 
 # ---------------------------------------------------------------- landing
@@ -93,11 +95,7 @@ class AppendOnlyTable:
         df.write.mode("overwrite").parquet(f"{self.path}/batch={int(batch_id)}")
 
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).schema  # noqa: B018
-            return True
-        except Exception:  # noqa: BLE001 - an absent or empty table
-            return False
+        return path_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(self.path)
@@ -126,24 +124,28 @@ class VersionedTable:
         return f"{self.path}/{LOG_DIR}"
 
     def log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.log_path)
-        except Exception:  # noqa: BLE001 - no commit yet
-            return None
+        if not path_exists(self.spark, self.log_path):
+            return None  # no commit yet
+        return self.spark.read.parquet(self.log_path)
 
-    def current_version(self) -> int | None:
+    def state(self) -> tuple[int | None, set[tuple[str, int]]]:
+        """(current version, committed (stream, batch id) pairs) from one read of the log.
+
+        The log has one short row per commit, so this is a small collect.
+        """
         log = self.log()
         if log is None:
-            return None
-        row = log.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+            return None, set()
+        rows = log.select("version", "stream", "batch_id").collect()
+        current = max((r["version"] for r in rows), default=None)
+        return current, {(r["stream"], r["batch_id"]) for r in rows}
+
+    def current_version(self) -> int | None:
+        return self.state()[0]
 
     def committed_batch(self, batch_id: int, stream: str = "") -> bool:
         """Has this stream's micro-batch already been committed (replay guard)?"""
-        log = self.log()
-        if log is None:
-            return False
-        return log.filter((F.col("batch_id") == batch_id) & (F.col("stream") == stream)).limit(1).count() > 0
+        return (stream, batch_id) in self.state()[1]
 
     def version_path(self, version: int) -> str:
         return f"{self.path}/v={version}"
@@ -154,12 +156,19 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(self.version_path(v))
 
-    def commit(self, df: DataFrame, batch_id: int = -1, stream: str = "", note: str = "") -> int:
-        """Write ``df`` as the next version, then append its log row (the commit point)."""
-        current = self.current_version()
+    def commit(self, df: DataFrame, batch_id: int = -1, stream: str = "", note: str = "", current: int | None = -1) -> int:
+        """Write ``df`` as the next version, then append its log row (the commit point).
+
+        ``current`` is the version ``df`` was derived from when the caller has
+        already read it (saves a read of the log); the row count is observed
+        during the write itself.
+        """
+        if current == -1:
+            current = self.current_version()
         version = 0 if current is None else current + 1
-        df.write.mode("overwrite").parquet(self.version_path(version))
-        written = self.spark.read.parquet(self.version_path(version)).count()
+        obs = Observation(f"commit_{uuid.uuid4().hex}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.version_path(version))
+        written = int(obs.get.get("rows", 0))
         self.spark.createDataFrame(
             [(version, int(batch_id), stream, note, written)],
             "version int, batch_id long, stream string, note string, rows long",

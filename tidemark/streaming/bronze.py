@@ -118,14 +118,13 @@ def expectation_log(spark: SparkSession, layout: "Layout", table: str) -> DataFr
     return AppendOnlyTable(spark, layout.table_path("_expectations", table)).read()
 
 
-def refresh_bronze(
+def start_bronze(
     spark: SparkSession,
     spec: SourceSpec,
     layout: Layout,
-    timeout_s: int = DEFAULT_TIMEOUT_S,
     max_files_per_trigger: int | None = None,
-) -> AppendOnlyTable:
-    """Ingest every file landed since the last refresh into the bronze table."""
+):
+    """Start the triggered ingest of one dataset; returns (query, table)."""
     table = AppendOnlyTable(spark, layout.table_path("bronze", spec.table))
     checkpoint = layout.checkpoint("bronze", spec.table)
     if table.exists() and not path_exists(spark, checkpoint):
@@ -135,15 +134,36 @@ def refresh_bronze(
     stream = _discover(spark, spec, layout.landing_dir(spec), max_files_per_trigger)
     expectations = AppendOnlyTable(spark, layout.table_path("_expectations", spec.table))
     writer = stream.writeStream.foreachBatch(_bronze_batch(spec, table, expectations)).option("checkpointLocation", checkpoint)
-    q = writer.trigger(availableNow=True).queryName(f"bronze_{spec.table}").start()
+    return writer.trigger(availableNow=True).queryName(f"bronze_{spec.table}").start(), table
+
+
+def await_query(q, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
+    """Wait for a triggered query to drain; raise its failure or a timeout."""
     if not q.awaitTermination(timeout_s):
         q.stop()
-        raise TimeoutError(f"bronze refresh of {spec.table} did not finish in {timeout_s}s")
+        raise TimeoutError(f"{q.name} did not finish in {timeout_s}s")
     if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+        raise RuntimeError(f"{q.name}: {q.exception()}")
+
+
+def refresh_bronze(
+    spark: SparkSession,
+    spec: SourceSpec,
+    layout: Layout,
+    timeout_s: int = DEFAULT_TIMEOUT_S,
+    max_files_per_trigger: int | None = None,
+) -> AppendOnlyTable:
+    """Ingest every file landed since the last refresh into the bronze table."""
+    q, table = start_bronze(spark, spec, layout, max_files_per_trigger)
+    await_query(q, timeout_s)
     return table
 
 
-def refresh_registry(spark: SparkSession, specs: list[SourceSpec], layout: Layout) -> dict[str, AppendOnlyTable]:
-    """Refresh one bronze table per spec (each with its own checkpoint)."""
-    return {spec.table: refresh_bronze(spark, spec, layout) for spec in specs}
+def refresh_registry(
+    spark: SparkSession, specs: list[SourceSpec], layout: Layout, timeout_s: int = DEFAULT_TIMEOUT_S
+) -> dict[str, AppendOnlyTable]:
+    """Refresh one bronze table per spec, all streams running concurrently (own checkpoint each)."""
+    started = [(spec, *start_bronze(spark, spec, layout)) for spec in specs]
+    for _, q, _ in started:
+        await_query(q, timeout_s)
+    return {spec.table: table for spec, _, table in started}

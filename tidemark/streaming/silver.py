@@ -29,7 +29,7 @@ from tidemark.operators.cdc import latest_per_key, publish, scd1_merge
 from tidemark.operators.quality import quarantine
 from tidemark.sinks.tables import AppendOnlyTable, VersionedTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE
-from tidemark.streaming.bronze import DEFAULT_TIMEOUT_S, Layout
+from tidemark.streaming.bronze import DEFAULT_TIMEOUT_S, Layout, await_query
 
 SEQUENCE = [INGEST_TS, INGESTED_AT]
 
@@ -60,11 +60,8 @@ def payload_columns(spec: TableSpec) -> list[str]:
 
 
 def _run(q, name: str, timeout_s: int) -> None:
-    if not q.awaitTermination(timeout_s):
-        q.stop()
-        raise TimeoutError(f"{name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    del name  # the query carries its own name
+    await_query(q, timeout_s)
 
 
 def _bronze_stream(spark: SparkSession, bronze_path: str, max_files: int | None) -> DataFrame:
@@ -75,27 +72,27 @@ def _bronze_stream(spark: SparkSession, bronze_path: str, max_files: int | None)
     return reader.parquet(bronze_path)
 
 
-def refresh_silver(
+def start_silver(
     spark: SparkSession,
     spec: TableSpec,
     layout: Layout,
     bronze_table: str,
-    timeout_s: int = DEFAULT_TIMEOUT_S,
     max_files_per_trigger: int | None = None,
-) -> VersionedTable:
-    """Bring the silver SCD1 table up to date with everything in bronze."""
+):
+    """Start the triggered upsert of one silver table; returns (query, table)."""
     target = VersionedTable(spark, layout.table_path("silver", spec.name))
     rejected_table = AppendOnlyTable(spark, layout.table_path("quarantine", spec.name))
     stream_name = f"silver_{spec.name}"
     keys, payload = list(spec.keys), payload_columns(spec)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if target.committed_batch(batch_id, stream_name):
+        current, done = target.state()
+        if (stream_name, batch_id) in done:
             return
         clean, rejected = gate(typed_batch(batch, spec), spec)
         rejected_table.write_batch(rejected, batch_id)
-        state = scd1_merge(target.read(), clean.drop(SOURCE_FILE), keys, SEQUENCE, payload)
-        target.commit(state, batch_id, stream_name)
+        state = scd1_merge(target.read(current) if current is not None else None, clean.drop(SOURCE_FILE), keys, SEQUENCE, payload)
+        target.commit(state, batch_id, stream_name, current=current)
 
     q = (
         _bronze_stream(spark, layout.table_path("bronze", bronze_table), max_files_per_trigger)
@@ -105,7 +102,20 @@ def refresh_silver(
         .queryName(stream_name)
         .start()
     )
-    _run(q, stream_name, timeout_s)
+    return q, target
+
+
+def refresh_silver(
+    spark: SparkSession,
+    spec: TableSpec,
+    layout: Layout,
+    bronze_table: str,
+    timeout_s: int = DEFAULT_TIMEOUT_S,
+    max_files_per_trigger: int | None = None,
+) -> VersionedTable:
+    """Bring the silver SCD1 table up to date with everything in bronze."""
+    q, target = start_silver(spark, spec, layout, bronze_table, max_files_per_trigger)
+    _run(q, q.name, timeout_s)
     return target
 
 
@@ -129,9 +139,11 @@ def refresh_silver_stateful(
     latest = latest_per_key(clean.drop(SOURCE_FILE), keys, SEQUENCE, payload, keep_sequence=True)
 
     def handle(changed: DataFrame, batch_id: int) -> None:
-        if target.committed_batch(batch_id, stream_name):
+        current, done = target.state()
+        if (stream_name, batch_id) in done:
             return
-        target.commit(scd1_merge(target.read(), changed, keys, SEQUENCE, payload), batch_id, stream_name)
+        prev = target.read(current) if current is not None else None
+        target.commit(scd1_merge(prev, changed, keys, SEQUENCE, payload), batch_id, stream_name, current=current)
 
     q = (
         latest.writeStream.outputMode("update")
@@ -175,9 +187,11 @@ def upsert_stream(
     source = latest_per_key(stream, keys, sequence, payload, keep_sequence=True) if stateful else stream
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if target.committed_batch(batch_id, name):
+        current, done = target.state()
+        if (name, batch_id) in done:
             return
-        target.commit(scd1_merge(target.read(), batch, keys, sequence, payload), batch_id, name)
+        prev = target.read(current) if current is not None else None
+        target.commit(scd1_merge(prev, batch, keys, sequence, payload), batch_id, name, current=current)
 
     writer = source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if stateful:
