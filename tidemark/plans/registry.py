@@ -1248,7 +1248,7 @@ def _medallion(spark, sf_dir):
         scratch = _layout(spark, "medallion")
         lay = Layout(scratch.landing, scratch.tables, scratch.checkpoints, SERIES_SOURCE)
         land_series_product(spark, sf_dir, lay)
-        refresh_everything(spark, lay)
+        refresh_everything(spark, lay, stats_years=star.POPULATION_YEARS)
         _MEDALLION[key] = lay
     return _MEDALLION[key]
 
@@ -1305,3 +1305,11 @@ def q_medallion_quarantine(spark, sf_dir):
     lay = _medallion(spark, sf_dir)
     rejected = read_quarantine(spark, lay, "pr_data")
     return rejected.select(F.explode("_failed_rules").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("medallion_population_stats", ORACLES["population_stats"])
+def q_medallion_population_stats(spark, sf_dir):
+    """G1 over the refreshed silver population (VARIANT document → exploded → SCD1)."""
+    lay = _medallion(spark, sf_dir)
+    out = spark.read.parquet(lay.table_path("gold", "population_stats"))
+    return out.select("year_count", *[F.round(c, 6).alias(c) for c in out.columns if c != "year_count"])
