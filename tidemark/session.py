@@ -85,3 +85,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+# Settings for a large cluster (100 TB input, ~1000 executors). Applied by
+# the deployment, not by the library; listed here so the sizing is explicit.
+CLUSTER_SETTINGS = {
+    # Scan splits of 256 MiB: ~400 000 scan tasks over 100 TB.
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # AQE re-plans at run time: coalesces small shuffle partitions toward the
+    # advisory size, splits skewed ones, and converts joins to broadcast when
+    # a measured side is small.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Parquet pushdown and vectorised reads (defaults, stated for clarity).
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.enableVectorizedReader": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def shuffle_partitions_for(shuffled_bytes: int, target_bytes: int = 256 * 1024 * 1024, minimum: int = 200) -> int:
+    """Initial shuffle partition count so each partition holds about ``target_bytes``.
+
+    AQE coalesces downward at run time, so this is an upper bound sized for the
+    largest shuffle (e.g. raw rows of a sort-merge join); aggregated shuffles
+    end up far smaller and are coalesced.
+    """
+    return max(minimum, -(-int(shuffled_bytes) // int(target_bytes)))
