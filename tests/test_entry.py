@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-ROWS_ONLY = {"retain_versions"}
+ROWS_ONLY = {"retain_versions", "list_layer_tables"}
 # Quick keys compared here; the full set runs in scripts/check_oracle.py.
 FAST_KEYS = [
     "agg_value_per_year", "value_per_quarter", "population_stats", "best_year_report", "scd1_latest",

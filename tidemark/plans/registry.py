@@ -1313,3 +1313,36 @@ def q_medallion_population_stats(spark, sf_dir):
     lay = _medallion(spark, sf_dir)
     out = spark.read.parquet(lay.table_path("gold", "population_stats"))
     return out.select("year_count", *[F.round(c, 6).alias(c) for c in out.columns if c != "year_count"])
+
+
+@register("list_layer_tables")
+def q_list_layer_tables(spark, sf_dir):
+    """Layer databases bootstrapped idempotently; tables listed (temporary views skipped) with row counts."""
+    import uuid
+
+    from tidemark.sinks.tables import VersionedTable
+    from tidemark.sources.tables import bootstrap_namespace, list_layer_tables, register_table
+    from tidemark.session import path_exists
+
+    lay = _medallion(spark, sf_dir)
+    env = f"run{uuid.uuid4().hex[:8]}"
+    dbs = bootstrap_namespace(spark, "tidemark", env, lay.tables, layers=("bronze", "silver", "gold"))
+    bootstrap_namespace(spark, "tidemark", env, lay.tables, layers=("bronze", "silver", "gold"))  # idempotent
+    for name in ("pr_data_1_alldata", "pr_series", "pr_sector", "pr_measure", "pr_duration", "population"):
+        if path_exists(spark, lay.table_path("bronze", name)):
+            register_table(spark, dbs[0], name, lay.table_path("bronze", name))
+    for name in ("pr_data", "pr_series", "pr_sector", "pr_measure", "pr_duration", "population"):
+        t = VersionedTable(spark, lay.table_path("silver", name))
+        v = t.current_version()
+        if v is not None:
+            register_table(spark, dbs[1], name, t.version_path(v))
+    for name in ("agg_value_per_year", "value_per_quarter", "population_stats"):
+        register_table(spark, dbs[2], name, lay.table_path("gold", name))
+    listed = list_layer_tables(spark, dbs).collect()
+    counts = None
+    for r in listed:
+        part = spark.table(f"{r.database}.{r.table}").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(r.database.rsplit("_", 1)[-1]).alias("layer"), F.lit(r.table).alias("table"), "n_rows"
+        )
+        counts = part if counts is None else counts.unionByName(part)
+    return counts

@@ -32,6 +32,9 @@ def register_table(spark: SparkSession, database: str, table: str, path: str) ->
         "CREATE TABLE IF NOT EXISTS IDENTIFIER(:t) USING parquet LOCATION :p",
         args={"t": fqn, "p": path},
     )
+    if any(c.isPartition for c in spark.catalog.listColumns(fqn)):
+        # Partitioned layout (e.g. bronze batch=<id>): register the existing partitions.
+        spark.catalog.recoverPartitions(fqn)
     spark.sql("REFRESH TABLE IDENTIFIER(:t)", args={"t": fqn})
     return fqn
 
