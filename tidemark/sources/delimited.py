@@ -11,14 +11,15 @@ Here each line is mapped to the header of *its own* file, by name:
    are read in order, so ``min_by(line, monotonically_increasing_id())`` over
    the rows with block start 0 is the header; that is a partial aggregate with
    one output row per file;
-3. the (small, size-checked) header table is broadcast back to the lines, each
+3. the header table (one row per file; the stream bounds the files per
+   micro-batch) is collected once and broadcast back to the lines; each
    line is split on the separator and zipped with its file's header names;
 4. the output has one column per header name seen in the batch (all STRING,
    names kept verbatim, padding included), NULL where a file lacks a column;
    values beyond the header width go to ``_rescued_data`` as JSON.
 
-Everything runs in tasks; the driver only sees the distinct header
-signatures (a handful of short string arrays) to build the projection.
+Everything runs in tasks; the driver only sees one header row per file
+(bounded per micro-batch) to build the projection and the broadcast side.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import ingest_ts_from_path
-from tidemark.operators.joins import sized_broadcast
 
 RESCUED = "_rescued_data"
 SOURCE_FILE = "_source_file"
@@ -65,9 +65,16 @@ def _regex_quote(sep: str) -> str:
     return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in sep)
 
 
+HEADER_SCHEMA = "__path string, __header_pos bigint, __header array<string>"
+
+
 def map_lines_to_headers(positioned: DataFrame, headers: DataFrame, sep: str = "\t") -> DataFrame:
-    """Data lines (header lines removed) with ``__fields`` MAP<name, value> and rescued extras."""
-    joined = positioned.join(sized_broadcast(headers), "__path", "inner").filter(
+    """Data lines (header lines removed) with ``__fields`` MAP<name, value> and rescued extras.
+
+    ``headers`` has one row per file and is broadcast (its size is the number
+    of files in the batch, which the caller bounds).
+    """
+    joined = positioned.join(F.broadcast(headers), "__path", "inner").filter(
         (F.col("__pos") != F.col("__header_pos")) & (F.col("__line") != "")
     )
     fields = F.split(F.col("__line"), _regex_quote(sep), -1)
@@ -84,13 +91,12 @@ def map_lines_to_headers(positioned: DataFrame, headers: DataFrame, sep: str = "
     )
 
 
-def header_union(headers: DataFrame, existing: list[str] | None = None) -> list[str]:
+def header_union(header_rows: list, existing: list[str] | None = None) -> list[str]:
     """Ordered union of column names: existing table columns first, then new ones
     in first-seen order (additive evolution; nothing is ever dropped)."""
     names = list(existing or [])
-    sigs = headers.select("__header").distinct().collect()
-    for row in sorted(sigs, key=lambda r: r[0]):
-        for n in row[0]:
+    for header in sorted({tuple(r["__header"]) for r in header_rows}):
+        for n in header:
             if n not in names and n.strip() != "":
                 names.append(n)
     return names
@@ -101,10 +107,14 @@ def read_delimited_lines(lines: DataFrame, sep: str = "\t", existing_columns: li
 
     Output: one column per header name (verbatim), ``_rescued_data``,
     ``_source_file`` and ``_ingest_ts`` (run stamp parsed from the path suffix).
+    The per-file header table is computed once (one row per file, collected:
+    the number of files per micro-batch is bounded by the stream) and
+    broadcast back from those rows.
     """
     positioned = lines_with_position(lines)
-    headers = file_headers(positioned, sep)
-    names = header_union(headers, existing_columns)
+    header_rows = file_headers(positioned, sep).collect()
+    names = header_union(header_rows, existing_columns)
+    headers = lines.sparkSession.createDataFrame(header_rows, HEADER_SCHEMA)
     mapped = map_lines_to_headers(positioned, headers, sep)
     return mapped.select(
         *[F.col("__fields")[n].alias(n) for n in names],

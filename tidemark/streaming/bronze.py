@@ -25,6 +25,9 @@ from tidemark.sinks.tables import AppendOnlyTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE, read_delimited_lines
 
 DEFAULT_TIMEOUT_S = 1800
+# Files per micro-batch: bounds the per-file header table each batch collects
+# and broadcasts; availableNow still drains every landed file.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 # Warn-only expectations of bronze tables: rows are always kept; failures
 # are counted per micro-batch into the table's expectation log.
@@ -67,10 +70,7 @@ class Layout:
 
 
 def _discover(spark: SparkSession, spec: SourceSpec, directory: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream
-    if max_files:
-        # Bounded micro-batches; availableNow still drains everything.
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files or DEFAULT_MAX_FILES_PER_TRIGGER)
     if spec.fmt == "delimited":
         return (
             reader.format("text")
