@@ -41,6 +41,10 @@ SECOND = [
     ("PRS30006014     ", "2001", "Q06", "         1.0", ""),   # bad period
     ("PRS30006014     ", "20x1", "Q01", "         1.0", ""),   # malformed year (T2)
     ("PRS30006014     ", "2001", "Q01", "            ", ""),   # blank value
+    ("PRS30006014     ", "2001", "   ", "         1.0", ""),   # blank period
+    ("PRS30006014     ", "2101", "Q01", "         1.0", ""),   # after the year bound (parameter)
+    ("PRS30006015     ", "2002", "Q01", "         7.0", ""),   # one key twice in one file (T26):
+    ("PRS30006015     ", "2002", "Q01", "         8.0", ""),   # the larger payload wins, always
 ]
 
 
@@ -57,6 +61,7 @@ def expected_after_both():
         ("PRS30006011", 1995, "Q05"): 1.4,
         ("PRS30006012", 1996, "Q01"): 5.0,
         ("PRS30006013", 1996, "Q01"): 4.0,
+        ("PRS30006015", 2002, "Q01"): 8.0,
     }
 
 
@@ -70,7 +75,9 @@ def test_two_snapshots_in_one_micro_batch(spark, layout):
     table = refresh_silver(spark, pr_data(2100), layout, DATA.table)
     assert silver_values(table) == expected_after_both()
     rejected = read_quarantine(spark, layout, "pr_data")
-    assert rejected.count() == 5  # four malformed rows + the '-' restatement
+    assert rejected.count() == 7  # six malformed rows + the '-' restatement
+    failed = {tuple(r._failed_rules) for r in rejected.collect()}
+    assert ("plausible_year",) in failed and ("valid_period",) in failed and ("valid_value",) in failed
 
 
 def test_two_snapshots_in_two_runs_and_replay(spark, layout):
