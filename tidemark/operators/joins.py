@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,15 +58,24 @@ def checked_dimension(df: DataFrame, keys: list[str] | None = None, max_rows: in
     multiplicity (a repeated key raises: the join would fan out fact rows).
     Without: one distributed count. Above ``max_rows`` the side is returned
     unhinted and the join stays a shuffle join.
+
+    The dimension is persisted before the check, so the check's job is also
+    the only computation of it (a derived dimension may aggregate a large
+    table); it stays cached only when proven small.
     """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     if keys:
-        r = df.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
+        r = cached.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
         if (r["dup"] or 0) > 1:
+            cached.unpersist()
             raise ValueError(f"{what} key {keys} is not unique (a key occurs {r['dup']} times)")
         rows = r["rows"] or 0
     else:
-        rows = df.count()
-    return F.broadcast(df) if rows <= max_rows else df
+        rows = cached.count()
+    if rows <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 def prepare_side(df: DataFrame, policy: str = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
