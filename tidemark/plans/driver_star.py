@@ -98,7 +98,7 @@ def gold_inputs(spark: SparkSession, sf_dir: str) -> GoldInputs:
 
 # DuckDB text of the same star, shared by the oracle queries.
 ORACLE_STAR_CTE = """
-q4 AS (SELECT l_suppkey AS series_id, year(l_shipdate) AS year,
+q4 AS (SELECT l_suppkey AS series_id, CAST(year(l_shipdate) AS INTEGER) AS year,
               'Q0' || CAST(quarter(l_shipdate) AS VARCHAR) AS period,
               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(20,2)) AS value
        FROM lineitem GROUP BY 1, 2, 3),
@@ -111,7 +111,7 @@ labels AS (SELECT s_suppkey AS series_id, r_name AS sector_name, n_name AS measu
                   CAST(NULL AS VARCHAR) AS seasonal_text
            FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
                          LEFT JOIN region ON n_regionkey = r_regionkey),
-population AS (SELECT year(o_orderdate) AS year, count(*) AS population FROM orders
+population AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS population FROM orders
                WHERE year(o_orderdate) BETWEEN 1996 AND 2000 AND year(o_orderdate) <> 1998 GROUP BY 1)
 """
 

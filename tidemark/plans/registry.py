@@ -129,7 +129,7 @@ def q_series_vs_population(spark, sf_dir):
     "twin_parity",
     _with(star.ORACLE_STAR_CTE, """
 SELECT 'agg_value_per_year' AS analysis, (SELECT count(*) FROM (SELECT DISTINCT series_id, year FROM facts WHERE period <> 'Q05')) AS n_rows,
-       0 AS sql_only, 0 AS df_only
+       CAST(0 AS BIGINT) AS sql_only, CAST(0 AS BIGINT) AS df_only
 UNION ALL
 SELECT 'population_stats', 1, 0, 0
 UNION ALL
@@ -169,7 +169,7 @@ def q_twin_parity(spark, sf_dir):
 @register(
     "grouped_rounded_sum",
     """
-SELECT l_suppkey AS series_id, year(l_shipdate) AS year,
+SELECT l_suppkey AS series_id, CAST(year(l_shipdate) AS INTEGER) AS year,
        CAST(round(sum(CAST(l_extendedprice AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
 FROM lineitem GROUP BY 1, 2
 """,
@@ -501,7 +501,7 @@ def q_content_hash(spark, sf_dir):
     from tidemark.functions.text import content_fingerprint
 
     sha, n = content_fingerprint("text")
-    return _q(spark, sf_dir, "documents").select("doc_id", sha.alias("content_sha256"), n.alias("bytes"))
+    return _q(spark, sf_dir, "documents").select("doc_id", sha.alias("content_sha256"), n.cast("long").alias("bytes"))
 
 
 # ====================================================================== SCD1
