@@ -75,3 +75,24 @@ def test_unchanged_snapshot_is_not_landed_again(spark, layout):
     got = [(r.ingest_ts, r.status, r.landing_path is None) for r in m.read().orderBy("ingest_ts").collect()]
     assert got == [("20260101T000000Z", "FETCHED", False), ("20260201T000000Z", "UNCHANGED", True),
                    ("20260301T000000Z", "FETCHED", False)]
+
+
+def test_run_isolates_item_errors_and_listing_failure(spark, layout):
+    # Three items, one fails -> 3 rows, 2 landed, run had an error; a failed listing is its own row.
+    from tidemark.sinks.manifest import record_run
+
+    cols = ", ".join(f"`{h}` string" for h in ("class_code", "class_text"))
+    snap = spark.createDataFrame([("01", "All workers")], cols)
+    other = spark.createDataFrame([("02", "Employees")], cols)
+    m = AppendOnlyTable(spark, f"{layout.tables}/source_manifest")
+    summary = record_run(spark, [("pr.class", snap), ("pr.contacts", RuntimeError("HTTP 500")), ("pr.sector", other)],
+                         layout.landing, layout.source, "20260909T163000Z", m, 1).first()
+    assert (summary.had_error, summary.n, summary.n_fetched, summary.n_error) == (True, 3, 2, 1)
+    rows = {r.dataset: r for r in m.read().collect()}
+    assert rows["pr.contacts"].status == "ERROR" and rows["pr.contacts"].error_message == "HTTP 500"
+    assert rows["pr.contacts"].landing_path is None and rows["pr.class"].landing_path is not None
+    # Listing failure: one ERROR row for the listing plus whatever items were fetched.
+    summary = record_run(spark, [("pr.class", snap)], layout.landing, layout.source, "20260910T000000Z", m, 2,
+                         listing_error="listing timed out").first()
+    assert (summary.had_error, summary.n, summary.n_unchanged) == (True, 2, 1)
+    assert m.read().filter("dataset = '_directory_listing'").count() == 1

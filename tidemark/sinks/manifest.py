@@ -102,50 +102,103 @@ def snapshot_fingerprint(snapshot: DataFrame, sep: str = "\t") -> DataFrame:
     )
 
 
-def record_landing(
+ROW_SCHEMA = (
+    "source string, dataset string, ingest_ts string, status string, http_status int, content_sha256 string, "
+    "last_modified string, bytes bigint, source_url string, landing_path string, run_id string, error_message string"
+)
+
+
+def land_item(
     spark,
     snapshot: DataFrame,
     landing_base: str,
     source: str,
     dataset: str,
     stamp: str,
-    manifest: AppendOnlyTable,
-    run_seq: int,
+    known_sha: str | None,
     run_id: str = "local",
     source_url: str | None = None,
-    after_landing=None,
-) -> str | None:
-    """Fetch-and-land one snapshot with change detection; data first, audit row last.
-
-    The snapshot's fingerprint is compared with the last FETCHED state of the
-    dataset in the ledger: equal → an UNCHANGED row and nothing is landed;
-    otherwise (or on first sighting) the snapshot is landed and then a
-    FETCHED row is appended. A failure between landing and the append
-    leaves a landed snapshot without a row; the next run lands again under
-    its own stamp and records that, and the duplicate content collapses in
-    the SCD1 upsert downstream. ``after_landing`` is called between the two
-    steps (tests inject failures there). Returns the landing path, or None
-    when unchanged.
+) -> tuple:
+    """Fingerprint one snapshot and land it unless unchanged; returns its ledger row (a tuple).
+
+    Equal to ``known_sha`` (the last FETCHED fingerprint) → UNCHANGED, nothing
+    landed; otherwise (or on first sighting) the snapshot is landed → FETCHED.
     """
     from tidemark.sinks.tables import write_landing_snapshot
 
     fp = snapshot_fingerprint(snapshot).first()
-    known = None
+    unchanged = known_sha is not None and known_sha == fp["content_sha256"]
+    path = None if unchanged else write_landing_snapshot(snapshot, landing_base, source, dataset, stamp)
+    return (source, dataset, stamp, UNCHANGED if unchanged else FETCHED, 200, fp["content_sha256"], None,
+            fp["bytes"], source_url or f"{source}/{dataset}", path, run_id, None)
+
+
+def error_row(source: str, dataset: str, stamp: str, message: str, http_status: int | None = None,
+              run_id: str = "local", source_url: str | None = None) -> tuple:
+    """Ledger row of an item (or a listing, dataset ``_directory_listing``) that could not be fetched."""
+    return (source, dataset, stamp, ERROR, http_status, None, None, None, source_url or f"{source}/{dataset}",
+            None, run_id, message)
+
+
+def record_run(
+    spark,
+    items: list,
+    landing_base: str,
+    source: str,
+    stamp: str,
+    manifest: AppendOnlyTable,
+    run_seq: int,
+    run_id: str = "local",
+    listing_error: str | None = None,
+    after_landing=None,
+) -> DataFrame:
+    """One fetch run: land every item, then append the run's ledger rows (data first, audit rows last).
+
+    ``items`` are (dataset, snapshot DataFrame) pairs, or (dataset, Exception)
+    for an item whose fetch failed; a failed item becomes an ERROR row and
+    never stops the others. ``listing_error`` records a failed listing as
+    one ERROR row for ``_directory_listing``. ``after_landing`` is called
+    after all landings and before the ledger append (tests inject failures
+    there). Returns the run summary: had_error, n and counts per status.
+    """
+    from tidemark.operators.aggregates import run_summary
+
+    known = {}
     if manifest.exists():
-        last = last_known_state(manifest.read(), source).filter(F.col("dataset") == dataset).first()
-        known = None if last is None else last["content_sha256"]
-    unchanged = known is not None and known == fp["content_sha256"]
-    path = None
-    if not unchanged:
-        path = write_landing_snapshot(snapshot, landing_base, source, dataset, stamp)
-        if after_landing is not None:
-            after_landing(path)
-    row = spark.createDataFrame(
-        [(source, dataset, stamp, UNCHANGED if unchanged else FETCHED, 200, fp["content_sha256"], None,
-          fp["bytes"], source_url or f"{source}/{dataset}", path, run_id, None)],
-        "source string, dataset string, ingest_ts string, status string, http_status int, content_sha256 string, "
-        "last_modified string, bytes bigint, source_url string, landing_path string, run_id string, "
-        "error_message string",
-    ).withColumn("fetched_at", F.current_timestamp())
-    append_manifest(manifest, row, run_seq)
-    return path
+        known = {r["dataset"]: r["content_sha256"] for r in last_known_state(manifest.read(), source).collect()}
+    rows = []
+    if listing_error is not None:
+        rows.append(error_row(source, LISTING_DATASET, stamp, listing_error, run_id=run_id))
+    for dataset, item in items:
+        if isinstance(item, Exception):
+            rows.append(error_row(source, dataset, stamp, str(item), run_id=run_id))
+            continue
+        try:
+            rows.append(land_item(spark, item, landing_base, source, dataset, stamp, known.get(dataset), run_id))
+        except Exception as exc:  # noqa: BLE001 - per-item isolation: record and continue
+            rows.append(error_row(source, dataset, stamp, f"{type(exc).__name__}: {exc}", run_id=run_id))
+    if after_landing is not None:
+        after_landing(rows)
+    run_rows = spark.createDataFrame(rows, ROW_SCHEMA).withColumn("fetched_at", F.current_timestamp())
+    append_manifest(manifest, run_rows, run_seq)
+    return run_summary(manifest_rows(run_rows), "run_id", "status", ERROR, (FETCHED, UNCHANGED, ERROR))
+
+
+def record_landing(
+    spark,
+    snapshot: DataFrame,
+    landing_base: str,
+    source: str,
+    dataset: str,
+    stamp: str,
+    manifest: AppendOnlyTable,
+    run_seq: int,
+    run_id: str = "local",
+    source_url: str | None = None,
+    after_landing=None,
+) -> str | None:
+    """A run of one item (see :func:`record_run`); returns its landing path, or None when unchanged."""
+    record_run(spark, [(dataset, snapshot)], landing_base, source, stamp, manifest, run_seq, run_id,
+               after_landing=after_landing)
+    row = manifest.read().filter((F.col("ingest_ts") == stamp) & (F.col("dataset") == dataset)).first()
+    return row["landing_path"]
