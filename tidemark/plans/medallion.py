@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.joins import Dim, star_join
 from tidemark.plans import gold

@@ -576,9 +576,6 @@ def _customer_as_raw_text(spark, sf_dir):
     )
 
 
-CUSTOMER_SPEC_COLUMNS = None  # built lazily (import cycle free)
-
-
 def _customer_spec():
     from tidemark.functions.cleaning import ColumnSpec, TableSpec
 

@@ -33,7 +33,6 @@ RESCUED = "_rescued_data"
 SOURCE_FILE = "_source_file"
 INGEST_TS = "_ingest_ts"
 INGESTED_AT = "_ingested_at"
-PROVENANCE = (INGESTED_AT, SOURCE_FILE, INGEST_TS)
 
 
 def lines_with_position(lines: DataFrame) -> DataFrame:
