@@ -18,10 +18,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_root
+
 # A side above this many rows is never hinted for broadcast.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -49,33 +50,29 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> Da
 
 
 def checked_dimension(df: DataFrame, keys: list[str] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS, what: str = "dimension") -> DataFrame:
-    """Prove a dimension's size (and key uniqueness) in one job; hint broadcast only below the bound.
-
-    For dimensions derived by joins Spark has no usable static size estimate
-    (it multiplies the sizes of the join inputs), so it would plan a shuffle
-    of the fact side that AQE can only undo after that shuffle has run. With
-    ``keys``: one aggregation gives row count and the largest key
-    multiplicity (a repeated key raises: the join would fan out fact rows).
-    Without: one distributed count. Above ``max_rows`` the side is returned
-    unhinted and the join stays a shuffle join.
-
-    The dimension is persisted before the check, so the check's job is also
-    the only computation of it (a derived dimension may aggregate a large
-    table); it stays cached only when proven small.
+    """Materialise a dimension once, prove its size (and key uniqueness), hint broadcast only below the bound.
+
+    For dimensions derived by joins or aggregates Spark has no usable static
+    size estimate (it multiplies the sizes of join inputs), so it would plan
+    a shuffle of the fact side that AQE can only undo after that shuffle has
+    run. The dimension is written once with ``checkpoint()`` into the shared
+    checkpoint folder (one job; lineage cut, survives executor loss); the
+    check then reads the materialised rows: with ``keys`` one aggregation
+    gives row count and the largest key multiplicity (a repeated key raises,
+    as the join would fan out fact rows), without keys a count. Above
+    ``max_rows`` the side is returned unhinted and the join stays a shuffle
+    join. Callers (SQL views or DataFrames) reuse the checkpointed rows.
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_root(df.sparkSession)
+    stored = df.checkpoint(eager=True)
     if keys:
-        r = cached.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
+        r = stored.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
         if (r["dup"] or 0) > 1:
-            cached.unpersist()
             raise ValueError(f"{what} key {keys} is not unique (a key occurs {r['dup']} times)")
         rows = r["rows"] or 0
     else:
-        rows = cached.count()
-    if rows <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+        rows = stored.count()
+    return F.broadcast(stored) if rows <= max_rows else stored
 
 
 def prepare_side(df: DataFrame, policy: str = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
