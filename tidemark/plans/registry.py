@@ -988,7 +988,7 @@ def q_stream_table_read(spark, sf_dir):
     lay = _layout(spark, "stream_table_read")
     src = f"{lay.tables}/events_src"
     ev = _q(spark, sf_dir, "events")
-    ev.repartition(4, "event_type").write.parquet(src)
+    ev.repartition(4).write.parquet(src)  # round-robin: no hot type in one task
     sink = AppendOnlyTable(spark, f"{lay.tables}/events_copy")
     q = (
         spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
@@ -1201,7 +1201,7 @@ def q_scd1_stream_state(spark, sf_dir):
     lay = _layout(spark, "scd1_stream_state")
     src = f"{lay.tables}/events_src"
     ev = _q(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    ev.repartition(5, "event_type").write.parquet(src)
+    ev.repartition(5).write.parquet(src)  # round-robin: no hot type in one task
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
     table = VersionedTable(spark, f"{lay.tables}/latest_event")
     upsert_stream(stream, ["user_id"], ["ts", "event_id"], ["event_type", "value"], table,
@@ -1219,7 +1219,7 @@ def q_scd1_stream_merge(spark, sf_dir):
     lay = _layout(spark, "scd1_stream_merge")
     src = f"{lay.tables}/events_src"
     ev = _q(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
-    ev.repartition(5, "event_type").write.parquet(src)
+    ev.repartition(5).write.parquet(src)  # round-robin: no hot type in one task
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(src)
     table = VersionedTable(spark, f"{lay.tables}/latest_event")
     upsert_stream(stream, ["user_id"], ["ts", "event_id"], ["event_type", "value"], table,

@@ -128,24 +128,25 @@ class VersionedTable:
             return None  # no commit yet
         return self.spark.read.parquet(self.log_path)
 
-    def state(self) -> tuple[int | None, set[tuple[str, int]]]:
-        """(current version, committed (stream, batch id) pairs) from one read of the log.
+    def state(self, batch_id: int | None = None, stream: str = "") -> tuple[int | None, bool]:
+        """(current version, whether ``stream``'s ``batch_id`` is already committed) in one aggregate.
 
-        The log has one short row per commit, so this is a small collect.
+        Computed by the executors over the log, so its cost does not depend on
+        how many commits the log holds; one row reaches the driver.
         """
         log = self.log()
         if log is None:
-            return None, set()
-        rows = log.select("version", "stream", "batch_id").collect()
-        current = max((r["version"] for r in rows), default=None)
-        return current, {(r["stream"], r["batch_id"]) for r in rows}
+            return None, False
+        done = (F.col("batch_id") == F.lit(-1 if batch_id is None else int(batch_id))) & (F.col("stream") == F.lit(stream))
+        r = log.agg(F.max("version").alias("v"), F.bool_or(done).alias("done")).first()
+        return (None if r["v"] is None else int(r["v"])), bool(r["done"]) and batch_id is not None
 
     def current_version(self) -> int | None:
         return self.state()[0]
 
     def committed_batch(self, batch_id: int, stream: str = "") -> bool:
         """Has this stream's micro-batch already been committed (replay guard)?"""
-        return (stream, batch_id) in self.state()[1]
+        return self.state(batch_id, stream)[1]
 
     def version_path(self, version: int) -> str:
         return f"{self.path}/v={version}"

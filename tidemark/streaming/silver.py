@@ -86,8 +86,8 @@ def start_silver(
     keys, payload = list(spec.keys), payload_columns(spec)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        current, done = target.state()
-        if (stream_name, batch_id) in done:
+        current, done = target.state(batch_id, stream_name)
+        if done:
             return
         clean, rejected = gate(typed_batch(batch, spec), spec)
         rejected_table.write_batch(rejected, batch_id)
@@ -139,8 +139,8 @@ def refresh_silver_stateful(
     latest = latest_per_key(clean.drop(SOURCE_FILE), keys, SEQUENCE, payload, keep_sequence=True)
 
     def handle(changed: DataFrame, batch_id: int) -> None:
-        current, done = target.state()
-        if (stream_name, batch_id) in done:
+        current, done = target.state(batch_id, stream_name)
+        if done:
             return
         prev = target.read(current) if current is not None else None
         target.commit(scd1_merge(prev, changed, keys, SEQUENCE, payload), batch_id, stream_name, current=current)
@@ -187,8 +187,8 @@ def upsert_stream(
     source = latest_per_key(stream, keys, sequence, payload, keep_sequence=True) if stateful else stream
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        current, done = target.state()
-        if (name, batch_id) in done:
+        current, done = target.state(batch_id, name)
+        if done:
             return
         prev = target.read(current) if current is not None else None
         target.commit(scd1_merge(prev, batch, keys, sequence, payload), batch_id, name, current=current)
