@@ -150,3 +150,12 @@ def test_run_summary_and_freshness(spark):
     ev = spark.sql("SELECT 'a' AS g, timestamp '2024-01-01 00:00:00' AS ts UNION ALL SELECT 'b', timestamp '2024-02-01 00:00:00'")
     stale = {r.g: r.is_stale for r in freshness(ev, "g", "ts", "2024-01-15 00:00:00").collect()}
     assert stale == {"a": True, "b": False}
+
+
+def test_latest_per_key_with_unorderable_payload(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES ('a', 1, map('x', 1), parse_json('{"n": 1}')),
+                             ('a', 2, map('x', 2), parse_json('{"n": 2}')),
+                             ('b', 1, map('y', 3), parse_json('{"n": 3}')) AS t(k, seq, m, v)""")
+    got = {r.k: (r.m, r.v.toPython()) for r in latest_per_key(df, ["k"], ["seq"], ["m", "v"]).collect()}
+    assert got == {"a": ({"x": 2}, {"n": 2}), "b": ({"y": 3}, {"n": 3})}

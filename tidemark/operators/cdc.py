@@ -17,6 +17,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+
+
+def _orderable(dt: DataType) -> bool:
+    """Whether values of this type can be compared (MAP and VARIANT cannot)."""
+    if isinstance(dt, (MapType, VariantType)):
+        return False
+    if isinstance(dt, StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, ArrayType):
+        return _orderable(dt.elementType)
+    return True
 
 
 def latest_per_key(
@@ -29,13 +41,19 @@ def latest_per_key(
     """One row per key: the row with the greatest (sequence, payload) tuple.
 
     ``keep_sequence`` keeps the sequence columns (state for later merges);
-    the published table drops them.
+    the published table drops them. Payload columns that cannot be compared
+    (MAP, VARIANT) ride along via ``max_by`` and are left out of the tie-break.
     """
     if payload is None:
         payload = [c for c in df.columns if c not in keys and c not in sequence]
-    fields = [*sequence, *[c for c in payload if c not in sequence]]
-    winner = F.max(F.struct(*[F.col(c) for c in fields])).alias("__w")
+    extra = [c for c in payload if c not in sequence]
+    types = {f.name: f.dataType for f in df.schema.fields}
     out_fields = [*(sequence if keep_sequence else []), *payload]
+    if all(_orderable(types[c]) for c in extra):
+        winner = F.max(F.struct(*[F.col(c) for c in [*sequence, *extra]])).alias("__w")
+    else:
+        ordering = F.struct(*[F.col(c) for c in [*sequence, *[c for c in extra if _orderable(types[c])]]])
+        winner = F.max_by(F.struct(*[F.col(c) for c in [*sequence, *extra]]), ordering).alias("__w")
     return df.groupBy(*keys).agg(winner).select(*keys, *[F.col(f"__w.{c}").alias(c) for c in out_fields])
 
 
