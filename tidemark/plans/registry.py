@@ -1107,7 +1107,10 @@ def q_manifest_append(spark, sf_dir):
     """Append-only ledger, one row per item per run, NULL rules by status."""
     from tidemark.sinks.manifest import MANIFEST_COLUMNS
 
-    return _manifest_table(spark, sf_dir).read().select(*[n for n, _ in MANIFEST_COLUMNS])
+    ledger = _manifest_table(spark, sf_dir).read()
+    # fetched_at is UTC; returned as its UTC wall-clock value so the result
+    # does not depend on the time zone of whoever collects it.
+    return ledger.select(*[F.col(n).cast("timestamp_ntz").alias(n) if n == "fetched_at" else n for n, _ in MANIFEST_COLUMNS])
 
 
 @register(
