@@ -15,6 +15,8 @@ Mapping (so the gold analyses run unchanged on /root/testdata):
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ POPULATION_YEARS = (1996, 2000)
 POPULATION_GAP_YEAR = 1998
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+# Per session (weakly held, so a stopped session's frames go with it): path → DataFrame.
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +38,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     DataFrame reuses that work, as a catalog table would.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    tables = _TABLES.setdefault(spark, {})
+    if path not in tables:
+        tables[path] = spark.read.parquet(path)
+    return tables[path]
 
 
 def quarterly_facts(lineitem: DataFrame) -> DataFrame:

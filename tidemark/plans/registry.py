@@ -6,6 +6,8 @@ driver tables. Column names match the oracle's aliases exactly.
 
 from __future__ import annotations
 
+import weakref
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1232,7 +1234,8 @@ def q_scd1_stream_merge(spark, sf_dir):
 
 # ====================================================================== the product end to end
 
-_MEDALLION = {}
+# Per session (weakly held) and driver-table folder: the refreshed layout.
+_MEDALLION: "weakref.WeakKeyDictionary" = weakref.WeakKeyDictionary()
 
 
 def _medallion(spark, sf_dir):
@@ -1243,14 +1246,14 @@ def _medallion(spark, sf_dir):
     from tidemark.plans.medallion import SERIES_SOURCE
     from tidemark.streaming.bronze import Layout
 
-    key = (id(spark), sf_dir)
-    if key not in _MEDALLION:
+    runs = _MEDALLION.setdefault(spark, {})
+    if sf_dir not in runs:
         scratch = _layout(spark, "medallion")
         lay = Layout(scratch.landing, scratch.tables, scratch.checkpoints, SERIES_SOURCE)
         land_series_product(spark, sf_dir, lay)
         refresh_everything(spark, lay, stats_years=star.POPULATION_YEARS)
-        _MEDALLION[key] = lay
-    return _MEDALLION[key]
+        runs[sf_dir] = lay
+    return runs[sf_dir]
 
 
 @register(
