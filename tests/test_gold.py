@@ -69,3 +69,15 @@ def test_population_must_be_unique_on_year(spark, inputs):
 def test_series_vs_population(spark, inputs):
     got = gold.series_vs_population(inputs, "Q01", "PRS30006011").collect()
     assert sorted((r.year, r.population) for r in got) == [(1995, None), (1996, None), (2019, 328239523)]
+
+
+def test_without_labels_skips_the_join(spark, inputs):
+    df = gold.agg_value_per_year_df(inputs, with_labels=False)
+    assert df.columns == list(gold.AGG_VALUE_PER_YEAR_COLUMNS)
+    assert df.filter("label IS NOT NULL").count() == 0
+    with_l = gold.agg_value_per_year_df(inputs)
+    assert gold.twin_difference(df.drop(*gold.LABEL_TEXT_COLUMNS, "label"), with_l.drop(*gold.LABEL_TEXT_COLUMNS, "label")) == (0, 0)
+    def joins(d):
+        return d._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+    assert (joins(df), joins(with_l)) == (1, 2)  # population only vs labels + population
