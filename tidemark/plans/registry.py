@@ -265,12 +265,12 @@ def q_freshness_check(spark, sf_dir):
 
 # ====================================================================== quality gates
 
+# Rule texts are valid in both Spark SQL and DuckDB, so the oracles reuse them.
 ORDER_RULES = {
     "has_price": "o_totalprice IS NOT NULL",
     "plausible_year": "year(o_orderdate) BETWEEN 1996 AND 2000",
     "valid_status": "o_orderstatus IN ('F', 'O')",
 }
-ORDER_RULES_DUCKDB = ORDER_RULES  # same text in both dialects
 
 
 @register(
@@ -307,7 +307,7 @@ def q_expect_or_drop(spark, sf_dir):
 @register(
     "expect_all_or_drop",
     "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders WHERE "
-    + " AND ".join(f"coalesce({p}, false)" for p in ORDER_RULES_DUCKDB.values()),
+    + " AND ".join(f"coalesce({p}, false)" for p in ORDER_RULES.values()),
 )
 def q_expect_all_or_drop(spark, sf_dir):
     """A row is kept only when every rule is TRUE."""
@@ -321,7 +321,7 @@ def q_expect_all_or_drop(spark, sf_dir):
     "quarantine_by_rule",
     "SELECT rule, n FROM (\n"
     + "\nUNION ALL\n".join(
-        f"SELECT '{k}' AS rule, count(*) AS n FROM orders WHERE NOT coalesce({p}, false)" for k, p in ORDER_RULES_DUCKDB.items()
+        f"SELECT '{k}' AS rule, count(*) AS n FROM orders WHERE NOT coalesce({p}, false)" for k, p in ORDER_RULES.items()
     )
     + "\n) t WHERE n > 0",
 )
@@ -336,9 +336,9 @@ def q_quarantine_by_rule(spark, sf_dir):
     "quarantined_rows",
     "SELECT o_orderkey, "
     + "list_filter(["
-    + ", ".join(f"CASE WHEN NOT coalesce({p}, false) THEN '{k}' END" for k, p in ORDER_RULES_DUCKDB.items())
+    + ", ".join(f"CASE WHEN NOT coalesce({p}, false) THEN '{k}' END" for k, p in ORDER_RULES.items())
     + "], lambda x: x IS NOT NULL) AS _failed_rules FROM orders WHERE NOT ("
-    + " AND ".join(f"coalesce({p}, false)" for p in ORDER_RULES_DUCKDB.values())
+    + " AND ".join(f"coalesce({p}, false)" for p in ORDER_RULES.values())
     + ")",
 )
 def q_quarantined_rows(spark, sf_dir):
