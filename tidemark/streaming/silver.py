@@ -20,13 +20,14 @@ fails a rule never replaces the current value.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import TableSpec, project_spec
 from tidemark.functions.variant import variant_array, variant_field
 from tidemark.operators.cdc import latest_per_key, publish, scd1_merge
-from tidemark.operators.quality import quarantine
+from tidemark.operators.quality import FAILED_RULES, failed_rules, quarantine
 from tidemark.sinks.tables import AppendOnlyTable, VersionedTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE
 from tidemark.streaming.bronze import DEFAULT_TIMEOUT_S, Layout, await_query
@@ -89,10 +90,18 @@ def start_silver(
         current, done = target.state(batch_id, stream_name)
         if done:
             return
-        clean, rejected = gate(typed_batch(batch, spec), spec)
-        rejected_table.write_batch(rejected, batch_id)
-        state = scd1_merge(target.read(current) if current is not None else None, clean.drop(SOURCE_FILE), keys, SEQUENCE, payload)
-        target.commit(state, batch_id, stream_name, current=current)
+        # The typed batch feeds two writes (quarantine, merge): persist it for
+        # the duration of the batch so bronze is read and parsed once. Lost
+        # cached blocks are recomputed from the batch's files.
+        flagged = typed_batch(batch, spec).withColumn(FAILED_RULES, failed_rules(list(spec.rules)))
+        flagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejected_table.write_batch(flagged.filter(F.size(FAILED_RULES) > 0), batch_id)
+            clean = flagged.filter(F.size(FAILED_RULES) == 0).drop(FAILED_RULES, SOURCE_FILE)
+            state = scd1_merge(target.read(current) if current is not None else None, clean, keys, SEQUENCE, payload)
+            target.commit(state, batch_id, stream_name, current=current)
+        finally:
+            flagged.unpersist()
 
     q = (
         _bronze_stream(spark, layout.table_path("bronze", bronze_table), max_files_per_trigger)
