@@ -1349,3 +1349,35 @@ def q_list_layer_tables(spark, sf_dir):
         )
         counts = part if counts is None else counts.unionByName(part)
     return counts
+
+
+@register(
+    "medallion_expectations",
+    _with(star.ORACLE_STAR_CTE, """
+SELECT 'pr_data_1_alldata' AS table_name, 'no_rescued_data' AS rule, CAST(0 AS BIGINT) AS failed,
+       2 * (SELECT count(*) FROM facts) + 3 * (SELECT count(*) FROM supplier) AS n_rows
+UNION ALL SELECT 'pr_series', 'no_rescued_data', 0, (SELECT count(*) FROM supplier)
+UNION ALL SELECT 'pr_sector', 'no_rescued_data', 0, (SELECT count(*) FROM region)
+UNION ALL SELECT 'pr_measure', 'no_rescued_data', 0, (SELECT count(*) FROM nation)
+UNION ALL SELECT 'pr_duration', 'no_rescued_data', 0, (SELECT count(*) FROM supplier WHERE s_acctbal > 0)
+UNION ALL SELECT 'population', 'value_present', 0, 1
+"""),
+)
+def q_medallion_expectations(spark, sf_dir):
+    """D1 in the pipeline: warn-only bronze expectations, counted per micro-batch, summed per table and rule."""
+    from tidemark.plans.medallion import layout_for
+    from tidemark.plans.series_specs import BRONZE_SOURCES
+    from tidemark.session import path_exists
+    from tidemark.streaming.bronze import expectation_log
+
+    lay = _medallion(spark, sf_dir)
+    out = None
+    for spec in BRONZE_SOURCES:
+        blay = layout_for(lay, spec)
+        if not path_exists(spark, blay.table_path("_expectations", spec.table)):
+            continue
+        part = expectation_log(spark, blay, spec.table).groupBy("rule").agg(
+            F.sum("failed").cast("long").alias("failed"), F.sum("n_rows").cast("long").alias("n_rows")
+        ).select(F.lit(spec.table).alias("table_name"), "rule", "failed", "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
