@@ -106,6 +106,9 @@ class AppendOnlyTable:
 
 # ---------------------------------------------------------------- versioned snapshots
 
+# The leading underscore hides the log from any read of the table root
+# (partition discovery over v=<n>). Reading the log path itself makes Spark
+# log "All paths were ignored" for the hidden name; it reads it regardless.
 LOG_DIR = "_commits"
 
 
