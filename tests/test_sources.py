@@ -39,3 +39,23 @@ def test_counted_broadcast_policy(spark):
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     big = prepare_side(spark.range(10), "counted", max_rows=5)
     assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
+
+
+def test_bucketed_tables_join_without_exchange(spark, scratch):
+    from tidemark.sources.tables import bootstrap_namespace, write_bucketed
+
+    (db,) = bootstrap_namespace(spark, "tm", "bucket", f"{scratch}/tables", layers=("silver",))
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity")
+    od = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"
+    )
+    a = write_bucketed(li, db, "lineitem_b", f"{scratch}/tables/silver/lineitem_b", ["l_orderkey"], 8)
+    b = write_bucketed(od, db, "orders_b", f"{scratch}/tables/silver/orders_b", ["l_orderkey"], 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle-join path
+    try:
+        joined = a.join(b, "l_orderkey", "left")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == li.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
