@@ -18,6 +18,7 @@ series to one task; aggregating first keeps that exchange tiny.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,9 +57,16 @@ class GoldInputs:
         ``check_labels`` asserts it for other inputs. Each side is broadcast
         only when its counted size is below the bound.
         """
-        population = checked_dimension(self.population.select("year", "population"), ["year"], what="population")
-        labels = checked_dimension(self.labels, ["series_id"] if self.check_labels else None, what="labels")
-        return GoldInputs(self.facts, labels, population)
+        # The two checks are independent Spark jobs: submit them together so
+        # the (possibly large) scans behind each dimension overlap.
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            population = pool.submit(
+                checked_dimension, self.population.select("year", "population"), ["year"], what="population"
+            )
+            labels = pool.submit(
+                checked_dimension, self.labels, ["series_id"] if self.check_labels else None, what="labels"
+            )
+            return GoldInputs(self.facts, labels.result(), population.result())
 
 
 def sql_over(spark: SparkSession, text: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:
