@@ -159,3 +159,16 @@ def test_latest_per_key_with_unorderable_payload(spark):
                              ('b', 1, map('y', 3), parse_json('{"n": 3}')) AS t(k, seq, m, v)""")
     got = {r.k: (r.m, r.v.toPython()) for r in latest_per_key(df, ["k"], ["seq"], ["m", "v"]).collect()}
     assert got == {"a": ({"x": 2}, {"n": 2}), "b": ({"y": 3}, {"n": 3})}
+
+
+def test_join_merge_equals_union_merge(spark):
+    from tidemark.operators.cdc import scd1_merge_join
+
+    rows = [("S1", 1, 1.0), ("S1", 2, 2.0), ("S2", 1, 5.0), ("S3", 3, 7.0), ("S2", 4, None), ("S1", 2, 3.0), ("S4", 0, 1.0)]
+    batches = [spark.createDataFrame(rows[i:i + 2], "k string, seq int, v double") for i in range(0, len(rows), 2)]
+    for order in [(0, 1, 2, 3), (3, 1, 0, 2, 1)]:
+        a = b = None
+        for i in order:
+            a = scd1_merge(a, batches[i], ["k"], ["seq"], ["v"])
+            b = scd1_merge_join(b, batches[i], ["k"], ["seq"], ["v"])
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))

@@ -59,3 +59,37 @@ def test_bucketed_tables_join_without_exchange(spark, scratch):
         assert joined.count() == li.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_state_merge_shuffles_only_the_batch(spark, scratch):
+    from tidemark.operators.cdc import scd1_merge_join
+    from tidemark.sinks.tables import BucketedVersionedTable
+    from tidemark.sources.tables import bootstrap_namespace
+
+    (db,) = bootstrap_namespace(spark, "tm", "state", f"{scratch}/tables", layers=("silver",))
+    t = BucketedVersionedTable(spark, f"{scratch}/tables/silver/s", db, "s", ["k"], 8)
+    first = spark.createDataFrame([(i % 50, i, float(i)) for i in range(200)], "k int, seq int, v double")
+    t.commit(scd1_merge_join(None, first, ["k"], ["seq"], ["v"]))
+    batch = spark.createDataFrame([(1, 999, -1.0), (77, 5, 2.0)], "k int, seq int, v double")
+    merged = scd1_merge_join(t.read(), batch, ["k"], ["seq"], ["v"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scan = next(i for i, ln in enumerate(lines) if "FileScan" in ln and "Bucketed: true" in ln)
+
+    def depth(ln):
+        return len(ln) - len(ln.lstrip(" :+-"))
+
+    # Walk from the bucketed state scan up to the join: no Exchange on the way.
+    path, level = [], depth(lines[scan])
+    for ln in reversed(lines[:scan]):
+        if depth(ln) < level:
+            path.append(ln.strip(" :+-"))
+            level = depth(ln)
+            if ln.strip(" :+-").startswith("SortMergeJoin"):
+                break
+    assert path and path[-1].startswith("SortMergeJoin"), plan
+    assert not any(p.startswith("Exchange") for p in path), path
+    assert "Exchange" in plan  # the batch side is shuffled
+    t.commit(merged)
+    got = {r.k: r.v for r in t.read().collect()}
+    assert got[1] == -1.0 and got[77] == 2.0 and len(got) == 51

@@ -78,3 +78,32 @@ def scd1_merge(
 def publish(state: DataFrame, sequence: list[str]) -> DataFrame:
     """The published SCD1 view: state without the sequence columns."""
     return state.drop(*sequence)
+
+
+def scd1_merge_join(
+    current: DataFrame | None,
+    changes: DataFrame,
+    keys: list[str],
+    sequence: list[str],
+    payload: list[str] | None = None,
+) -> DataFrame:
+    """SCD1 merge as a full outer join of the current state with the batch's latest rows.
+
+    Same result as :func:`scd1_merge` (the greater (sequence, payload) tuple
+    wins per key; keys missing from the batch keep their row). When
+    ``current`` is read from a table bucketed on ``keys``, Spark joins
+    without an exchange on the state side: only the batch is shuffled, so a
+    refresh costs a scan of the state, not a shuffle of it. Payloads must be
+    orderable (no MAP/VARIANT).
+    """
+    if payload is None:
+        payload = [c for c in changes.columns if c not in keys and c not in sequence]
+    fields = [*sequence, *[c for c in payload if c not in sequence]]
+    latest = latest_per_key(changes, keys, sequence, payload, keep_sequence=True)
+    if current is None:
+        return latest
+    cur = current.select(*keys, F.struct(*[F.col(c) for c in fields]).alias("__s"))
+    new = latest.select(*keys, F.struct(*[F.col(c) for c in fields]).alias("__b"))
+    joined = cur.join(new, keys, "full_outer")
+    winner = F.when(F.col("__s").isNull() | (F.col("__b") > F.col("__s")), F.col("__b")).otherwise(F.col("__s"))
+    return joined.select(*keys, winner.alias("__w")).select(*keys, *[F.col(f"__w.{c}").alias(c) for c in fields])

@@ -1381,3 +1381,30 @@ def q_medallion_expectations(spark, sf_dir):
         ).select(F.lit(spec.table).alias("table_name"), "rule", "failed", "n_rows")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("scd1_bucketed_merge", LATEST_EVENT_PER_USER)
+def q_scd1_bucketed_merge(spark, sf_dir):
+    """C1/C4 at scale: state kept bucketed on the key; each merge shuffles only the batch.
+
+    Same batches, order and replay as ``scd1_replay``; the merge is a full
+    outer join of the bucketed state with the batch's latest rows.
+    """
+    import uuid
+
+    from tidemark.operators.cdc import publish, scd1_merge_join
+    from tidemark.sinks.tables import BucketedVersionedTable
+    from tidemark.sources.tables import bootstrap_namespace
+
+    lay = _layout(spark, "scd1_bucketed_merge")
+    (db,) = bootstrap_namespace(spark, "tidemark", f"b{uuid.uuid4().hex[:8]}", lay.tables, layers=("silver",))
+    table = BucketedVersionedTable(spark, f"{lay.tables}/latest_event", db, "latest_event", ["user_id"], 16)
+    ev = _q(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    seq, payload = ["ts", "event_id"], ["event_type", "value"]
+    types = list(REPLAY_ORDER)
+    known = [r[0] for r in ev.select("event_type").distinct().collect()]
+    types += sorted(t for t in known if t not in types)
+    for i, etype in enumerate(types + types[::-1]):
+        batch = ev.filter(F.col("event_type") == etype)
+        table.commit(scd1_merge_join(table.read(), batch, ["user_id"], seq, payload), batch_id=i, stream="replay")
+    return publish(table.read(), seq)
