@@ -144,3 +144,17 @@ def test_population_document(spark, layout):
     table = refresh_silver(spark, POPULATION, pop_layout, "population")
     got = {(r.nation_id, r.year): r.population for r in read_silver(table).collect()}
     assert got == {("01000US", 2019): 328239523, ("01000US", 2021): 331893745}
+
+
+def test_bucketed_silver_state_agrees(spark, layout):
+    from tidemark.sources.tables import bootstrap_namespace
+
+    (db,) = bootstrap_namespace(spark, "tm", "pipe", layout.tables + "_db", layers=("silver",))
+    land(spark, layout, FIRST, S1)
+    refresh_bronze(spark, DATA, layout)
+    refresh_silver(spark, pr_data(2100), layout, DATA.table, bucketed=(db, 8))
+    land(spark, layout, SECOND, S2)
+    refresh_bronze(spark, DATA, layout)
+    table = refresh_silver(spark, pr_data(2100), layout, DATA.table, bucketed=(db, 8))
+    assert silver_values(table) == expected_after_both()
+    assert spark.catalog.tableExists(f"{db}.pr_data_v1")

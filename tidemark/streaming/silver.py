@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import TableSpec, project_spec
 from tidemark.functions.variant import variant_array, variant_field
-from tidemark.operators.cdc import latest_per_key, publish, scd1_merge
+from tidemark.operators.cdc import latest_per_key, publish, scd1_merge, scd1_merge_join
 from tidemark.operators.quality import FAILED_RULES, failed_rules, quarantine
-from tidemark.sinks.tables import AppendOnlyTable, VersionedTable
+from tidemark.sinks.tables import AppendOnlyTable, BucketedVersionedTable, VersionedTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE
 from tidemark.streaming.bronze import DEFAULT_TIMEOUT_S, Layout, await_query
 
@@ -79,9 +79,22 @@ def start_silver(
     layout: Layout,
     bronze_table: str,
     max_files_per_trigger: int | None = None,
+    bucketed: tuple[str, int] | None = None,
 ):
-    """Start the triggered upsert of one silver table; returns (query, table)."""
-    target = VersionedTable(spark, layout.table_path("silver", spec.name))
+    """Start the triggered upsert of one silver table; returns (query, table).
+
+    ``bucketed=(database, buckets)`` keeps the state bucketed on the key and
+    merges with a join that shuffles only the batch (``scd1_merge_join``).
+    """
+    if bucketed is None:
+        target = VersionedTable(spark, layout.table_path("silver", spec.name))
+        merge = scd1_merge
+    else:
+        database, buckets = bucketed
+        target = BucketedVersionedTable(
+            spark, layout.table_path("silver", spec.name), database, spec.name, list(spec.keys), buckets
+        )
+        merge = scd1_merge_join
     rejected_table = AppendOnlyTable(spark, layout.table_path("quarantine", spec.name))
     stream_name = f"silver_{spec.name}"
     keys, payload = list(spec.keys), payload_columns(spec)
@@ -98,7 +111,7 @@ def start_silver(
         try:
             rejected_table.write_batch(flagged.filter(F.size(FAILED_RULES) > 0), batch_id)
             clean = flagged.filter(F.size(FAILED_RULES) == 0).drop(FAILED_RULES, SOURCE_FILE)
-            state = scd1_merge(target.read(current) if current is not None else None, clean, keys, SEQUENCE, payload)
+            state = merge(target.read(current) if current is not None else None, clean, keys, SEQUENCE, payload)
             target.commit(state, batch_id, stream_name, current=current)
         finally:
             flagged.unpersist()
@@ -121,9 +134,10 @@ def refresh_silver(
     bronze_table: str,
     timeout_s: int = DEFAULT_TIMEOUT_S,
     max_files_per_trigger: int | None = None,
+    bucketed: tuple[str, int] | None = None,
 ) -> VersionedTable:
     """Bring the silver SCD1 table up to date with everything in bronze."""
-    q, target = start_silver(spark, spec, layout, bronze_table, max_files_per_trigger)
+    q, target = start_silver(spark, spec, layout, bronze_table, max_files_per_trigger, bucketed)
     _run(q, q.name, timeout_s)
     return target
 
