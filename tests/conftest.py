@@ -15,7 +15,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     s = local_session("tidemark-tests", cores=4, shuffle_partitions=8)
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-tests-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-tests-"))
     yield s
     s.stop()
 

@@ -64,8 +64,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The setting is static: it cannot be set on a running session, so a
+        # local session without it keeps the folder on its context instead.
+        current = spark.sparkContext.getCheckpointDir()
+        root = os.path.dirname(current.rstrip("/")) if current else tempfile.mkdtemp(prefix="tidemark-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -74,10 +76,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
-    path = f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
