@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, chat, exact_dedup, html_text, mixing, near_dedup, substring_dedup, toxicity
+from tidemark.llm import ann, bpe, chat, exact_dedup, html_text, mixing, near_dedup, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup.query,
     "op2_substring_dedup": substring_dedup.query,
     "op3_html_extraction": html_text.query,
     "op4_exact_dedup": exact_dedup.query,
+    "op5_nearest_neighbours": ann.query,
     "op6_mix_sources": mixing.query,
+    "op7_warc_index": warc.query,
     "op8_chat_format": chat.query,
     "op9_toxicity": toxicity.query,
     "op10_byte_bpe": bpe.query,
