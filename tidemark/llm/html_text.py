@@ -9,9 +9,9 @@ A word's weight lies in [-4, 4] and is positive in containers not seen; a tag's
 lies in [-4, -0.01], -1 if not seen. The fit reads at most ``FIT_PAGES``
 labelled pages, those with the lowest hashes of their id.
 
-Within the run, whole elements that are not article text are left out: menus,
-headers, footers, sidebars, forms, scripts, styles and the like by their name,
-and adverts, notices, comments and others by words in their class or id. Block
+Elements that are not article text may stand in the run, at next to no cost, and do not end it. Whole elements
+of that kind are left out: menus, headers, footers, sidebars, forms, scripts, styles and the like by
+their name, and adverts, notices, comments and others by words in their class or id. Block
 elements separate blocks; references are decoded, white space in a block becomes
 one space, and blocks are joined by one space in page order.
 
@@ -82,11 +82,13 @@ def tokens(page: str) -> list[tuple[str, str, str, bool]]:
             continue
         name = name.lower()
         if m[1]:
+            closed = stack[-1][2]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
+                    closed = stack[k][2]
                     del stack[k:]
                     break
-            out.append(("close", name, name, stack[-1][2]))
+            out.append(("close", name, name, closed))
             continue
         label, strange = _names(m[3])
         feature = f"{name}.{label}" if label else name
@@ -95,7 +97,7 @@ def tokens(page: str) -> list[tuple[str, str, str, bool]]:
         if name in RAW and not m[3].endswith("/"):
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = end.end() if end else n
-            out.append(("close", name, name, stack[-1][2]))
+            out.append(("close", name, name, foreign))
         elif name in CONTAINERS or (strange and name not in VOID):
             stack.append((name, feature, foreign))
     return out
@@ -151,9 +153,10 @@ def extract(page: str, weights: dict[str, float]) -> str:
     parsed = tokens(page)
     scores = []
     for kind, feature, text, foreign in parsed:
-        if kind == "text":
-            words = len(text.split())
-            scores.append(words * (-4.0 if foreign else weights.get(f"text:{feature}", 1.0)))
+        if foreign:  # left out in any case, wherever the run ends
+            scores.append(-0.01)
+        elif kind == "text":
+            scores.append(len(text.split()) * weights.get(f"text:{feature}", 1.0))
         else:
             scores.append(weights.get(f"{kind}:{feature}", -1.0))
     first, last = best_run(scores)

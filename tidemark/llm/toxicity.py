@@ -1,17 +1,17 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained on labelled text, one on ordinary
-windows and one on toxic text. A text is cut into windows of ``WINDOW`` words,
+windows and one on toxic text. A text is cut into windows of ``WINDOW`` words (runs of letters, lower-cased in ASCII),
 and each is compressed with either; what it gains from the toxic dictionary is
 its distance. The largest gains of a document, calibrated on labelled documents
-that the dictionaries have not seen, give a score.
+that the dictionaries had not seen, give a score.
 
 *Ordinary dictionary*: zstandard's trainer over windows of ordinary documents.
 *Toxic dictionary*: the segments that tell toxic text from ordinary text,
-before the same ordinary content. A segment is a word, or the beginning of
-words, that never occurs in the ordinary sample and stands in so many different
-neighbourhoods (previous and next word) of toxic documents that chance is
-ruled out; a copy of a document adds no neighbourhood. Because both
+before the same ordinary content. A segment is a word, or a word with a
+beginning, that stands in ``ODDS`` times more different neighbourhoods
+(previous and next word) in toxic documents than in ordinary ones, too many for
+chance; a copy of a document adds no neighbourhood. Because both
 dictionaries end alike, an ordinary window costs the same bytes in both.
 
 Matches shorter than ``MATCH`` bytes are not used, so a window that shares no
@@ -50,8 +50,9 @@ MATCH = 5
 FOLDS = 5
 FIT_TOXIC, FIT_ORDINARY, CALIBRATE = 3_000, 9_000, 8_000
 FIT_BYTES = 48 << 20
-ORDINARY_BYTES, TOXIC_BYTES = 2_048, 8_192
-PREFIX = 5
+ORDINARY_BYTES, TOXIC_BYTES = 4_096, 8_192
+PREFIXES = (4, 5, 6)
+ODDS = 30
 # Windows are short: small tables, and the search that finds the cheapest parse.
 SEARCH = dict(window_log=14, chain_log=12, hash_log=12, search_log=6, min_match=MATCH, target_length=256, strategy=zstandard.STRATEGY_BTULTRA2)
 GRAM_TABLE = 1 << 18
@@ -75,35 +76,42 @@ def fold(doc_id: str | Column) -> Column:
 # -- the fit ------------------------------------------------------------------------------
 
 
-def toxic_segments(toxic: list[bytes], ordinary: list[bytes], limit: int = TOXIC_BYTES) -> bytes:
-    """Words of toxic texts that ordinary texts never have, by the number of neighbourhoods they stand in."""
-    seen: set[bytes] = set()
-    n_ordinary = 0
-    for text in ordinary:
-        words = _WORDS.findall(text.lower())
-        n_ordinary += len(words)
-        for w in set(words) - seen:
-            seen.update(w[:k] for k in range(PREFIX, len(w)))
-            seen.add(w)
-    around: dict[bytes, set[int]] = {}
-    started: dict[bytes, set[int]] = {}
-    n_toxic = 0
-    for text in toxic:
+def _places(texts: list[bytes]) -> tuple[dict[bytes, set[int]], int]:
+    """The neighbourhoods (previous and next word) of every word and, with a bar, of every beginning; and the words' number."""
+    places: dict[bytes, set[int]] = {}
+    total = 0
+    for text in texts:
         words = _WORDS.findall(text.lower())
-        n_toxic += len(words)
+        total += len(words)
         for before, word, after in zip([b"", *words], words, [*words[1:], b""]):
-            if word not in seen and len(word) > 2:
-                place = hash((before, after))
-                around.setdefault(word, set()).add(place)
-                if len(word) > PREFIX:
-                    started.setdefault(word[:PREFIX], set()).add(place)
+            place = hash((before, after))
+            places.setdefault(word, set()).add(place)
+            for k in PREFIXES:
+                if k < len(word):
+                    places.setdefault(word[:k] + b"|", set()).add(place)
+    return places, total
+
+
+def toxic_segments(toxic: list[bytes], ordinary: list[bytes], limit: int = TOXIC_BYTES) -> bytes:
+    """Words that toxic texts have far more often than ordinary ones, by the number of neighbourhoods they stand in."""
+    around, n_toxic = _places(toxic)
+    usual, n_ordinary = _places(ordinary)
     if not n_toxic:
         return b""
-    # By chance alone a word of all texts misses the ordinary ones n times with probability share ** n.
-    share = n_toxic / (n_toxic + n_ordinary)
-    least = max(4, math.ceil(math.log(0.01 / (len(around) + 1)) / math.log(min(share, 0.9))))
-    prefixes = {p for p, places in started.items() if p not in seen and len(places) >= 2 * least}
-    kept = {w: len(p) for w, p in around.items() if len(p) >= least or w[:PREFIX] in prefixes}
+    share = min(0.9, n_toxic / (n_toxic + n_ordinary + 1))
+    least = -math.log(len(around) + 1)  # of as many words that tell nothing, less than one is kept
+
+    def tells(word: bytes) -> bool:
+        a, b = len(around[word]), len(usual.get(word, ()))
+        p = a / (a + b)
+        if a < 4 or a * (1 - share) < ODDS * (b + 0.5) * share:
+            return False
+        chance = a * math.log(share / p) + (b * math.log((1 - share) / (1 - p)) if b else 0.0)
+        return chance < least
+
+    prefixes = {p for p in around if p.endswith(b"|") and tells(p)}
+    kept = {w: len(places) for w, places in around.items() if len(w) > 2 and not w.endswith(b"|")
+            and (tells(w) or (any(w[:k] + b"|" in prefixes for k in PREFIXES) and len(usual.get(w, ())) * ODDS * share < len(places)))}
     out, size = [], 0
     for w in sorted(kept, key=lambda w: (-kept[w], w)):
         if size + len(w) + 2 > limit:
@@ -114,7 +122,7 @@ def toxic_segments(toxic: list[bytes], ordinary: list[bytes], limit: int = TOXIC
 
 
 def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
-    words = text.lower().split()
+    words = _WORDS.findall(text.lower())
     return [b" " + b" ".join(words[i : i + size]) + b" " for i in range(0, len(words), size)]
 
 
@@ -158,7 +166,7 @@ class Scorer:
         """Largest gain of a window, largest gain of half a window, number of windows that gain."""
         if not self.segments or len(text) < MATCH - 2:
             return 0, 0, 0
-        words = text.lower().split()
+        words = _WORDS.findall(text.lower())
         if not words:
             return 0, 0, 0
         joined = b" " + b" ".join(words) + b" "
@@ -170,9 +178,7 @@ class Scorer:
         best = half = count = 0
         for k in np.unique(np.searchsorted(begins, near, "right") - 1).tolist():
             part = words[k * WINDOW : (k + 1) * WINDOW]
-            if not part:
-                continue
-            gain = self.gain(b" " + b" ".join(part) + b" ")
+            gain = self.gain(b" " + b" ".join(part) + b" ") if part else 0
             if gain > 0:
                 count += 1
                 best = max(best, gain)
@@ -219,21 +225,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     chosen = {r["doc_id"]: (r["toxic"], r["fold"], r["order"]) for r in sample.collect()}  # 20 000 rows at most
     if not any(t == 1 and f > 1 for t, f, _ in chosen.values()):
         return None
-    ids = F.broadcast(spark.createDataFrame(pd.DataFrame({"doc_id": np.array(list(chosen), np.int64)})))
+    ids = F.broadcast(spark.createDataFrame([(i,) for i in chosen], "doc_id long"))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
     # Whole documents in order of their hashes, as many as FIT_BYTES hold.
-    sizes = sorted((chosen[r[0]][2], r[0], r[1] or 0) for r in known.where(fold("doc_id") > 1).select("doc_id", F.octet_length("text")).collect())
+    sizes = sorted((chosen[r[0]][2], r[0], r[1] or 0) for r in known.select("doc_id", F.octet_length("text")).collect())
     total, taken = 0, set()
     for _, doc, size in sizes:
         total += size
         if total > FIT_BYTES:
             break
         taken.add(doc)
-    learn = F.broadcast(spark.createDataFrame(pd.DataFrame({"doc_id": np.array(sorted(taken), np.int64)})))
-    texts: tuple[list[bytes], list[bytes]] = ([], [])
+    learn = F.broadcast(spark.createDataFrame([(i,) for i in sorted(taken)], "doc_id long"))
+    texts: tuple[list, list] = ([], [])
     for r in sorted(known.join(learn, "doc_id", "left_semi").collect(), key=lambda r: (chosen[r["doc_id"]][2], r["text"] or "")):
-        texts[chosen[r["doc_id"]][0]].append((r["text"] or "").encode("utf-8", "surrogatepass"))
-    model = Model(ordinary_dictionary(texts[0]), toxic_segments(texts[1], texts[0]), ())
+        toxic, its_fold, _ = chosen[r["doc_id"]]
+        texts[toxic].append(((r["text"] or "").encode("utf-8", "surrogatepass"), its_fold))
+    # Calibrated on fold 1 with dictionaries of the others; the dictionaries that score then learn fold 1 too.
+    part = [[t for t, f in side if f > 1] for side in texts]
+    model = Model(ordinary_dictionary(part[0]), toxic_segments(part[1], part[0]), ())
     rows = gains(known.where(fold("doc_id") == 1), model).select("doc_id", "best", "half", "windows").collect()
     y = np.array([chosen[r["doc_id"]][0] for r in rows], float)
     x = design(*([r[c] for r in rows] for c in ("best", "half", "windows"))) if rows else np.zeros((0, 7))
@@ -241,7 +250,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         model.weights = (-3.0, 1.0, 4.0, 0.0, 0.0, 0.0, 0.0)
     else:
         model.weights = calibrate(x, y)
-    return model
+    whole = [[t for t, _ in side] for side in texts]
+    return Model(ordinary_dictionary(whole[0]), toxic_segments(whole[1], whole[0]), model.weights)
 
 
 # -- scoring --------------------------------------------------------------------------------
