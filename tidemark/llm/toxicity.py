@@ -32,13 +32,13 @@ empty table gives an empty result; other columns are never read, and
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +48,8 @@ from tidemark.llm.common import bounded_batches, table
 WINDOW = 20
 MATCH = 5
 FOLDS = 5
-FIT_TOXIC, FIT_ORDINARY, CALIBRATE = 3_000, 9_000, 8_000
-FIT_BYTES = 48 << 20
+FIT_TOXIC, FIT_ORDINARY, CALIBRATE = 2_000, 4_000, 4_000
+FIT_BYTES = 14 << 20
 ORDINARY_BYTES, TOXIC_BYTES = 4_096, 8_192
 PREFIXES = (4, 5, 6)
 ODDS = 30
@@ -76,42 +76,54 @@ def fold(doc_id: str | Column) -> Column:
 # -- the fit ------------------------------------------------------------------------------
 
 
-def _places(texts: list[bytes]) -> tuple[dict[bytes, set[int]], int]:
-    """The neighbourhoods (previous and next word) of every word and, with a bar, of every beginning; and the words' number."""
-    places: dict[bytes, set[int]] = {}
-    total = 0
+def _neighbourhoods(texts: list[bytes], prefix: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of words (or of their beginnings), in how many different places (previous, next word) each stands, and the words' number."""
+    keys, places, total = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
     for text in texts:
         words = _WORDS.findall(text.lower())
         total += len(words)
-        for before, word, after in zip([b"", *words], words, [*words[1:], b""]):
-            place = hash((before, after))
-            places.setdefault(word, set()).add(place)
-            for k in PREFIXES:
-                if k < len(word):
-                    places.setdefault(word[:k] + b"|", set()).add(place)
-    return places, total
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        place = np.r_[np.uint64(1), h[:-1]] * np.uint64(0x9E3779B97F4A7C15) + np.r_[h[1:], np.uint64(1)] * np.uint64(0xC2B2AE3D27D4EB4F) if len(h) else h
+        if prefix:
+            longer = [i for i, w in enumerate(words) if len(w) > prefix]
+            h, place = np.fromiter((xxhash.xxh3_64_intdigest(words[i][:prefix]) for i in longer), np.uint64, len(longer)), place[longer]
+        keys.append(h)
+        places.append(place)
+    key, place = np.concatenate(keys), np.concatenate(places)
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    new = np.r_[True, (key[1:] != key[:-1]) | (place[1:] != place[:-1])] if len(key) else np.zeros(0, bool)
+    return *np.unique(key[new], return_counts=True), total
+
+
+def _telling(toxic: list[bytes], ordinary: list[bytes], prefix: int = 0) -> tuple[dict[int, int], dict[int, float]]:
+    """Of words (or beginnings) that toxic texts have far more often: places by hash; and odds of every word by hash."""
+    key, a, n_toxic = _neighbourhoods(toxic, prefix)
+    usual, count, n_ordinary = _neighbourhoods(ordinary, prefix)
+    if not len(key):
+        return {}, {}
+    at = np.minimum(np.searchsorted(usual, key), max(len(usual) - 1, 0))
+    b = np.where(usual[at] == key, count[at], 0) if len(usual) else np.zeros(len(key), np.int64)
+    share = min(0.9, n_toxic / (n_toxic + n_ordinary + 1))
+    p = a / (a + b)
+    odds = a * (1 - share) / ((b + 0.5) * share)
+    # Of as many words that tell nothing, less than one is kept by chance.
+    chance = a * np.log(share / p) + b * np.log((1 - share) / np.maximum(1 - p, 1e-12))
+    good = (a >= 4) & (odds >= ODDS) & (chance < -np.log(len(key) + 1))
+    return dict(zip(key[good].tolist(), a[good].tolist())), dict(zip(key.tolist(), odds.tolist())) if not prefix else {}
 
 
 def toxic_segments(toxic: list[bytes], ordinary: list[bytes], limit: int = TOXIC_BYTES) -> bytes:
     """Words that toxic texts have far more often than ordinary ones, by the number of neighbourhoods they stand in."""
-    around, n_toxic = _places(toxic)
-    usual, n_ordinary = _places(ordinary)
-    if not n_toxic:
-        return b""
-    share = min(0.9, n_toxic / (n_toxic + n_ordinary + 1))
-    least = -math.log(len(around) + 1)  # of as many words that tell nothing, less than one is kept
-
-    def tells(word: bytes) -> bool:
-        a, b = len(around[word]), len(usual.get(word, ()))
-        p = a / (a + b)
-        if a < 4 or a * (1 - share) < ODDS * (b + 0.5) * share:
-            return False
-        chance = a * math.log(share / p) + (b * math.log((1 - share) / (1 - p)) if b else 0.0)
-        return chance < least
-
-    prefixes = {p for p in around if p.endswith(b"|") and tells(p)}
-    kept = {w: len(places) for w, places in around.items() if len(w) > 2 and not w.endswith(b"|")
-            and (tells(w) or (any(w[:k] + b"|" in prefixes for k in PREFIXES) and len(usual.get(w, ())) * ODDS * share < len(places)))}
+    telling, odds = _telling(toxic, ordinary)
+    beginnings = {k: _telling(toxic, ordinary, k)[0] for k in PREFIXES}
+    kept = {}
+    for w in {w for text in toxic for w in _WORDS.findall(text.lower()) if len(w) > 2}:
+        h = xxhash.xxh3_64_intdigest(w)
+        if h in telling:
+            kept[w] = telling[h]
+        elif odds[h] >= ODDS and any(len(w) > k and xxhash.xxh3_64_intdigest(w[:k]) in beginnings[k] for k in PREFIXES):
+            kept[w] = 1
     out, size = [], 0
     for w in sorted(kept, key=lambda w: (-kept[w], w)):
         if size + len(w) + 2 > limit:
@@ -129,7 +141,7 @@ def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
 def ordinary_dictionary(texts: list[bytes], size: int = ORDINARY_BYTES) -> bytes:
     samples = [w for t in texts for w in windows(t)]
     try:
-        return zstandard.train_dictionary(4 * size, samples[:: max(1, len(samples) // 40_000)]).as_bytes()[-size:]
+        return zstandard.train_dictionary(4 * size, samples[:: max(1, len(samples) // 20_000)]).as_bytes()[-size:]
     except zstandard.ZstdError:  # too few samples to choose from
         return b"".join(samples)[-size:]
 
@@ -222,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     train, held = marks.where("fold > 1"), marks.where("fold = 1")
     sample = lowest(train.where("toxic = 1"), FIT_TOXIC).unionByName(lowest(train.where("toxic = 0"), FIT_ORDINARY)).unionByName(lowest(held, CALIBRATE))
-    chosen = {r["doc_id"]: (r["toxic"], r["fold"], r["order"]) for r in sample.collect()}  # 20 000 rows at most
+    chosen = {r["doc_id"]: (r["toxic"], r["fold"], r["order"]) for r in sample.collect()}  # 10 000 rows at most
     if not any(t == 1 and f > 1 for t, f, _ in chosen.values()):
         return None
     ids = F.broadcast(spark.createDataFrame([(i,) for i in chosen], "doc_id long"))
