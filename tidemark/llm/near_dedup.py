@@ -18,8 +18,12 @@ probability below 1e-5, and at higher similarity far more rarely still.
 
 Large groups are not expanded to pairs. In every list, members are first
 compared with one pivot, the member whose values are shared most; what is
-confirmed is contracted to components. Then only members of *different*
-components are compared, so that no link between them is lost.
+confirmed is contracted to components, and each class takes the pivot it collides with
+that is shared most as its leader. What is left to compare are members of
+*different* components. Under one leader they are compared in cells of ``CELL`` by
+``CELL`` sets, each a small task that counts common shingles as a matrix product and
+returns one link for each two components it finds linked. Members of different leaders meet in the lists.
+So no link between components is lost, and no group's pairs become rows.
 
 The same sets (and so all copies) are one class from the start. Classes are named by
 64 bits of a hash of the set; shingles are compared as 64-bit hashes.
@@ -36,6 +40,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +53,9 @@ SHINGLE = 5
 COORDINATES = 64
 MATCHES = 32
 PERCENT = 75
+CELL = 256
+SMALL = 64
+VOCABULARY = 4096
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _ODD = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -153,24 +161,83 @@ def class_components(classes: DataFrame, docs: DataFrame, percent: int = PERCENT
     release_shuffles(spark)
     signs = stored(classes.join(postings.select("c").distinct(), "c", "left_semi"), "near-signs")
     needed = docs.join(signs.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    sets = stored(needed.mapInArrow(_sets, "c long, shingles array<long>"), "near-sets")
+    sets = stored(needed.mapInArrow(_sets, "c long, shingles array<long>").dropDuplicates(["c"]), "near-sets")
     release_shuffles(spark)
-    pivots = postings.groupBy("e").agg(F.max_by("c", F.struct("weight", "c")).alias("p"), F.count("*").alias("listed")).where("listed > 1")
-    star = postings.join(pivots, "e").where("c <> p").select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
-    links = stored(_confirmed(_collisions(star, signs, matches), sets, percent), "near-links")
+    pivots = postings.groupBy("e").agg(F.max(F.struct("weight", "c")).alias("p"), F.count("*").alias("listed")).where("listed > 1")
+    star = postings.join(pivots, "e").where("c <> p.c").select(F.col("c").alias("a"), F.col("p.c").alias("b")).distinct()
+    star = stored(_collisions(star, signs, matches), "near-star")
+    links = stored(_confirmed(star, sets, percent), "near-links")
     roots = stored(components(links), "near-roots")
-    # Lists whose members are not all in one component yet: compare across components.
     placed = postings.join(roots.withColumnRenamed("node", "c"), "c", "left").select("e", "c", F.coalesce("root", "c").alias("root"))
-    open_lists = placed.groupBy("e").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("e")
-    placed = stored(placed.join(open_lists, "e", "left_semi"), "near-open")
-    x, y = placed.withColumnsRenamed({"c": "a", "root": "root_a"}), placed.withColumnsRenamed({"c": "b", "root": "root_b"})
-    across = x.join(y, "e").where("a < b and root_a <> root_b").select("a", "b").distinct()
-    more = stored(_confirmed(_collisions(across, signs, matches), sets, percent), "near-links")
+    placed = stored(placed.join(_leaders(star, postings), "c", "left").withColumn("leader", F.coalesce("leader", "c")), "near-placed")
+    # Lists whose members are not all in one component, of members of different leaders.
+    mixed = placed.groupBy("e").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("leader").alias("one"), F.max("leader").alias("other"))
+    open_lists = placed.join(mixed.where("low < high and one < other").select("e"), "e", "left_semi")
+    x, y = (open_lists.withColumnsRenamed({"c": k, "root": f"root_{k}", "leader": f"leader_{k}"}) for k in "ab")
+    across = x.join(y, "e").where("a < b and root_a <> root_b and leader_a <> leader_b").select("a", "b").distinct()
+    across = _confirmed(_collisions(across, signs, matches), sets, percent)
+    more = stored(across.unionByName(_cell_links(placed.select("c", "root", "leader").distinct(), sets, percent)), "near-links")
     if more.isEmpty():
         return roots
     return stored(components(links.unionByName(more)), "near-roots")
 
 
+def _leaders(star: DataFrame, postings: DataFrame, hops: int = 3) -> DataFrame:
+    """c, leader: the colliding pivot whose values are shared most, or its leader, a few hops up."""
+    weights = postings.select(F.col("c").alias("b"), "weight").distinct()
+    up = stored(star.join(weights, "b").groupBy(F.col("a").alias("c")).agg(F.max_by("b", F.struct("weight", "b")).alias("leader")), "near-leaders")
+    for _ in range(hops - 1):
+        top = up.select(F.col("c").alias("leader"), F.col("leader").alias("top"))
+        up = stored(up.join(top, "leader", "left").select("c", F.coalesce("top", "leader").alias("leader")), "near-leaders")
+    return up
+
+
+def _linked(one: pd.DataFrame, two: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """One link for each two components with linked members in ``one`` and ``two`` (c, root, shingles)."""
+    sets = [*one["shingles"], *two["shingles"]]
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = (count > 1)[at]
+    owner, at = owner[shared], (np.cumsum(count > 1) - 1)[at[shared]]
+    n, both = len(one), np.zeros((len(one), len(two)))
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, VOCABULARY):
+        s = slice(*np.searchsorted(at, [low, low + VOCABULARY]))
+        has = np.zeros((len(sets), VOCABULARY), np.float32)
+        has[owner[s], at[s] - low] = 1
+        both += has[:n] @ has[n:].T
+    roots_1, roots_2 = one["root"].to_numpy(), two["root"].to_numpy()
+    enough = 100 * both >= percent * (sizes[:n, None] + sizes[None, n:] - both)
+    i, j = np.nonzero(enough & (roots_1[:, None] != roots_2[None, :]))
+    pairs = np.sort(np.column_stack([roots_1[i], roots_2[j]]), axis=1)
+    return [tuple(p) for p in np.unique(pairs, axis=0).tolist()]
+
+
+def _cell_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between components (by their roots) of members of one leader. ``members``: c, root, leader."""
+    groups = members.groupBy("leader").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    met = members.join(groups.select("leader", "n"), "leader")
+    blocks = F.ceil(F.col("n") / CELL).cast("long")
+    mine = met.withColumn("mine", F.when(F.col("n") > SMALL, F.pmod(F.xxhash64("c"), blocks)).otherwise(0)).withColumn(
+        "theirs", F.explode(F.when(F.col("n") > SMALL, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.lit(0).cast("long")))))
+    cells = mine.select("c", "root", "leader", "mine", F.least("mine", "theirs").alias("i"), F.greatest("mine", "theirs").alias("j"), (F.col("n") <= SMALL).alias("small"))
+    # Small groups share a task, some hundred sets in each.
+    tasks = F.lit(max(1, groups.where(F.col("n") <= SMALL).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // 256))
+    cells = cells.withColumn("task", F.when(F.col("small"), F.pmod(F.xxhash64("leader"), tasks)).otherwise(F.col("leader")))
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (_, i, j), cell in group.groupby(["leader", "i", "j"]):
+            sides = (cell, cell) if i == j else (cell[cell["mine"] == i], cell[cell["mine"] == j])
+            if len(sides[0]) and len(sides[1]) and cell["root"].nunique() > 1:
+                out += _linked(*sides, percent)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return cells.join(sets, "c").groupBy("small", "task", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document; then ``c``, the name of its set."""
     bounded_batches(docs.sparkSession, 512)
