@@ -125,11 +125,22 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"d": pa.array(docs, pa.int64()), "a": pa.array(out.view(np.int64), pa.int64())})
 
 
+def _compacted(at: np.ndarray, source: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where nonbranching paths begin, and their numbers of edges: places and sources that follow one another."""
+    new = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(source) != 0) | (np.diff(begin) != 1)]) if len(at) else np.zeros(0, np.int64)
+    return new, np.diff(np.r_[new, len(at)])
+
+
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows with a repeated anchor: the first place of each in the document, and the others with that place."""
+    """Windows with a repeated anchor, the first place of each in the document: e, at, and ``edges`` 0.
+
+    Later places of a window in its own document are duplicates wherever else it stands; they come as spans already:
+    at, from, edges, and no e.
+    """
     with np.errstate(over="ignore"):
         for batch in batches:
-            out = {"d": [], "e": [], "at": [], "first": []}
+            out = {k: [] for k in ("d", "e", "at", "from", "edges")}
+            none = []
             for doc, text, anchors in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
                 h = word_hashes(text.split())
                 known = np.sort(np.array(anchors, np.int64).view(np.uint64))
@@ -138,11 +149,18 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.flatnonzero(known[place] == mine)
                 e = run_hashes(h, WINDOW)[at]
                 _, low, back = np.unique(e, return_index=True, return_inverse=True)
-                out["d"].append(np.full(len(at), doc, np.int64))
-                out["e"].append(e.view(np.int64))
-                out["at"].append(at)
-                out["first"].append(at[low][back])
-            yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for k, v in out.items()})
+                first = np.zeros(len(at), bool)
+                first[low] = True
+                again, source = at[~first], at[low][back][~first]
+                new, edges = _compacted(again, np.zeros(len(again)), source)
+                out["d"].append(np.full(len(low) + len(new), doc, np.int64))
+                out["e"] += [e[first].view(np.int64), np.zeros(len(new), np.int64)]
+                out["at"] += [at[first], again[new]]
+                out["from"] += [np.zeros(len(low), np.int64), source[new]]
+                out["edges"] += [np.zeros(len(low), np.int64), edges]
+                none += [np.zeros(len(low), bool), np.ones(len(new), bool)]
+            columns = {k: np.concatenate(v) if v else np.zeros(0, np.int64) for k, v in out.items()}
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64(), mask=np.concatenate(none) if none and k == "e" else None) for k, v in columns.items()})
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,10 +172,10 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, source, begin = (places.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             order = np.argsort(at, kind="stable")
             at, source, begin = at[order], source[order], begin[order]
-            new = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(source) != 0) | (np.diff(begin) != 1)])
+            new, edges = _compacted(at, source, begin)
             out["d"].append(np.full(len(new), doc, np.int64))
             out["start"].append(at[new])
-            out["edges"].append(np.diff(np.r_[new, len(at)]))
+            out["edges"].append(edges)
             out["source"].append(source[new])
             out["from"].append(begin[new])
         yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for k, v in out.items()})
@@ -206,27 +224,26 @@ def _bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
 
 
 def repeated_edges(texts: DataFrame) -> DataFrame:
-    """d, e, at, first: windows that may be repeated; ``texts``: d, text, bucketed by d."""
+    """d, e, at, from, edges: windows that may be repeated (see ``_edges``); ``texts``: d, text, bucketed by d."""
     anchors = texts.select("d", "text").mapInArrow(_anchors, "d long, a long")
     often = anchors.groupBy("a").agg(F.count("*").alias("places")).where("places > 1").select("a")
     by_doc = stored(anchors.join(often, "a").groupBy("d").agg(F.collect_set("a").alias("anchors")), "sub-repeated")
     release_shuffles(texts.sparkSession)
-    return texts.join(by_doc, "d").select("d", "text", "anchors").mapInArrow(_edges, "d long, e long, at long, first long")
+    return texts.join(by_doc, "d").select("d", "text", "anchors").mapInArrow(_edges, "d long, e long, at long, `from` long, edges long")
 
 
 def duplicate_spans(texts: DataFrame) -> DataFrame:
     """d, start, edges, source, from: verified spans of windows that start earlier too, at the source."""
     spark = texts.sparkSession
     edges = stored(repeated_edges(texts), "sub-edges")
-    # One place of an edge in each document is enough to find its source.
-    sources = edges.where("at = first").groupBy("e").agg(F.min(F.struct("d", "at")).alias("s"), F.count("*").alias("docs"))
+    # One place of an edge in each document is enough to find its source and to tell whether it is later.
+    single = edges.where("e is not null").select("d", "e", "at")
+    sources = single.groupBy("e").agg(F.min(F.struct("d", "at")).alias("s"), F.count("*").alias("docs"))
     shared = sources.where("docs > 1").select("e", F.col("s.d").alias("source"), F.col("s.at").alias("from"))
-    met = edges.join(shared, "e", "left")
-    elsewhere = F.coalesce(F.col("source") != F.col("d"), F.lit(False))
-    later = met.where(elsewhere | (F.col("at") != F.col("first"))).select(
-        "d", "at", F.when(elsewhere, F.col("source")).otherwise(F.col("d")).alias("source"), F.when(elsewhere, F.col("from")).otherwise(F.col("first")).alias("from"))
-    places = later.groupBy("d").agg(F.collect_list(F.struct("at", "source", "from")).alias("places"))
-    spans = stored(places.mapInArrow(_spans, "d long, start long, edges long, source long, from long"), "sub-spans")
+    places = single.join(shared, "e").where("d <> source").groupBy("d").agg(F.collect_list(F.struct("at", "source", "from")).alias("places"))
+    across = places.mapInArrow(_spans, "d long, start long, edges long, source long, `from` long")
+    within = edges.where("e is null").select("d", F.col("at").alias("start"), "edges", F.col("d").alias("source"), "from")
+    spans = stored(across.unionByName(within), "sub-spans")
     release_shuffles(spark)
     asked = spans.select("d", "start", "edges").unionByName(spans.select(F.col("source").alias("d"), F.col("from").alias("start"), "edges")).distinct()
     asked = asked.groupBy("d").agg(F.collect_list(F.struct("start", "edges")).alias("spans"))
