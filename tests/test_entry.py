@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.plans import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -48,8 +49,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_unless_rows_only():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.QUERIES) - set(registry.ORACLES) == ROWS_ONLY
+    assert set(registry.ORACLES) <= set(registry.QUERIES)
 
 
 @pytest.mark.parametrize("name", FAST_KEYS)

@@ -6,21 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Exact sums are taken over values scaled to integers: round(value * 10^6) as
-# BIGINT. Integer sums are exact, independent of row order, and run on
-# primitive longs; a DECIMAL sum wider than 18 digits falls back to
-# BigDecimal arithmetic (about twice the cost per row). ANSI mode turns a
-# BIGINT overflow into an error, never a wrong total. Values carry at most
-# SUM_SCALE decimals (rounded half-up), like a cast to DECIMAL(30, 6).
+# Exact sums are taken over DECIMAL values: independent of row order, and wide
+# enough (24 digits before the point for a value, 32 for a sum) that no real
+# total overflows. Spark combines them map-side like any other sum.
 SUM_SCALE = 6
 EXACT_SUM_TYPE = DecimalType(30, SUM_SCALE)
 
 
-def scaled_long(col: Column) -> Column:
-    """``value`` as an integer count of 10^-SUM_SCALE units."""
-    return F.round(col * F.lit(10**SUM_SCALE)).cast("long")
-
-
 def exact_rounded_sum(df: DataFrame, col: str, digits: int = 1) -> Column:
     """``round(sum(col), digits)`` computed exactly, returned as DOUBLE.
 
@@ -28,12 +20,11 @@ def exact_rounded_sum(df: DataFrame, col: str, digits: int = 1) -> Column:
     visible to it (the earliest year wins).
     """
     del df  # same plan for DOUBLE and DECIMAL inputs
-    total = F.sum(scaled_long(F.col(col)))
-    return F.round(total.cast(DecimalType(38, 0)) / F.lit(10**SUM_SCALE), digits).cast("double")
+    return F.round(F.sum(F.col(col).cast(EXACT_SUM_TYPE)), digits).cast("double")
 
 
 # SQL text of the same expression (``{v}`` = the value column).
-EXACT_ROUNDED_SUM_SQL = "CAST(ROUND(CAST(SUM(CAST(ROUND({v} * 1000000) AS BIGINT)) AS DECIMAL(38, 0)) / 1000000, {d}) AS DOUBLE)"
+EXACT_ROUNDED_SUM_SQL = "CAST(ROUND(SUM(CAST({v} AS DECIMAL(30, 6))), {d}) AS DOUBLE)"
 
 
 def summary_stats(df: DataFrame, value: str, key: str, lo: int | None = None, hi: int | None = None) -> DataFrame:

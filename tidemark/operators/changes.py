@@ -17,13 +17,13 @@ def classify_changes(current: DataFrame, previous: DataFrame, key: str, fingerpr
     fingerprint. Both sides are shuffled once on the key (sort-merge join);
     a snapshot is unique on its key, so no key is hot.
     """
-    cur = current.select(F.col(key).alias("__k"), F.col(fingerprint).alias("current_fingerprint"))
-    prev = previous.select(F.col(key).alias("__k"), F.col(fingerprint).alias("previous_fingerprint"))
+    cur = current.select(F.col(key).alias("__k"), F.col(fingerprint).alias("current_fingerprint"), F.lit(True).alias("__cur"))
+    prev = previous.select(F.col(key).alias("__k"), F.col(fingerprint).alias("previous_fingerprint"), F.lit(True).alias("__prev"))
     j = cur.join(prev, "__k", "full_outer")
     status = (
-        F.when(F.col("previous_fingerprint").isNull(), F.lit(ADDED))
-        .when(F.col("current_fingerprint").isNull(), F.lit(REMOVED))
-        .when(F.col("current_fingerprint") == F.col("previous_fingerprint"), F.lit(UNCHANGED))
+        F.when(F.col("__prev").isNull(), F.lit(ADDED))
+        .when(F.col("__cur").isNull(), F.lit(REMOVED))
+        .when(F.col("current_fingerprint").eqNullSafe(F.col("previous_fingerprint")), F.lit(UNCHANGED))
         .otherwise(F.lit(CHANGED))
     )
     return j.select(F.col("__k").alias(key), status.alias("status"), "previous_fingerprint", "current_fingerprint")

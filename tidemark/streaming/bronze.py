@@ -24,7 +24,7 @@ from tidemark.session import path_exists
 from tidemark.sinks.tables import AppendOnlyTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE, read_delimited_lines
 
-DEFAULT_TIMEOUT_S = 1800
+DEFAULT_TIMEOUT_S = None  # a triggered query runs until it has drained its source
 # Files per micro-batch: bounds the per-file header table each batch collects
 # and broadcasts; availableNow still drains every landed file.
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
@@ -137,9 +137,11 @@ def start_bronze(
     return writer.trigger(availableNow=True).queryName(f"bronze_{spec.table}").start(), table
 
 
-def await_query(q, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
+def await_query(q, timeout_s: int | None = DEFAULT_TIMEOUT_S) -> None:
     """Wait for a triggered query to drain; raise its failure or a timeout."""
-    if not q.awaitTermination(timeout_s):
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"{q.name} did not finish in {timeout_s}s")
     if q.exception() is not None:
@@ -150,7 +152,7 @@ def refresh_bronze(
     spark: SparkSession,
     spec: SourceSpec,
     layout: Layout,
-    timeout_s: int = DEFAULT_TIMEOUT_S,
+    timeout_s: int | None = DEFAULT_TIMEOUT_S,
     max_files_per_trigger: int | None = None,
 ) -> AppendOnlyTable:
     """Ingest every file landed since the last refresh into the bronze table."""
@@ -160,10 +162,15 @@ def refresh_bronze(
 
 
 def refresh_registry(
-    spark: SparkSession, specs: list[SourceSpec], layout: Layout, timeout_s: int = DEFAULT_TIMEOUT_S
+    spark: SparkSession, specs: list[SourceSpec], layout: Layout, timeout_s: int | None = DEFAULT_TIMEOUT_S
 ) -> dict[str, AppendOnlyTable]:
     """Refresh one bronze table per spec, all streams running concurrently (own checkpoint each)."""
     started = [(spec, *start_bronze(spark, spec, layout)) for spec in specs]
-    for _, q, _ in started:
-        await_query(q, timeout_s)
+    try:
+        for _, q, _ in started:
+            await_query(q, timeout_s)
+    finally:
+        for _, q, _ in started:
+            if q.isActive:  # another one failed
+                q.stop()
     return {spec.table: table for spec, _, table in started}
