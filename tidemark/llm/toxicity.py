@@ -3,20 +3,18 @@
 Two zstandard dictionaries are trained on labelled text, one on ordinary
 windows and one on toxic text. A text is cut into windows of ``WINDOW`` words (runs of letters, lower-cased in ASCII),
 and each is compressed with either; what it gains from the toxic dictionary is
-its distance. The largest gains of a document, calibrated on labelled documents
+its distance. The gains of a document, calibrated on labelled documents
 that the dictionaries had not seen, give a score.
 
+*Spelling.* A word is spelled as a code of ``CODE`` bytes, so that a short word is as long a match as a long one
+and parts of other words match nothing. A word with a telling beginning is spelled as two codes, of that beginning and of itself.
 *Ordinary dictionary*: zstandard's trainer over windows of ordinary documents.
-*Toxic dictionary*: the segments that tell toxic text from ordinary text,
-before the same ordinary content. A segment is a word, or a word with a
-beginning, that stands in ``ODDS`` times more different neighbourhoods
+*Toxic dictionary*: the codes of words and beginnings that tell toxic text from ordinary text,
+before the same ordinary content. They stand in ``ODDS`` times more different neighbourhoods
 (previous and next word) in toxic documents than in ordinary ones, too many for
 chance; a copy of a document adds no neighbourhood. Because both
-dictionaries end alike, an ordinary window costs the same bytes in both.
-
-Matches shorter than ``MATCH`` bytes are not used, so a window that shares no
-``MATCH`` bytes with the toxic segments gains exactly nothing and need not be
-compressed: a vectorised search over the whole text finds the others.
+dictionaries end alike, an ordinary window costs the same bytes in both: a window without a telling code
+gains nothing and need not be compressed.
 
 The fit reads a bounded, reproducible sample of labelled rows: at most
 ``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary documents (lowest hashes of
@@ -35,6 +33,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -46,16 +45,17 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, table
 
 WINDOW = 20
-MATCH = 5
+CODE = 16
+TOP = 3
 FOLDS = 5
 FIT_TOXIC, FIT_ORDINARY, CALIBRATE = 2_000, 4_000, 4_000
 FIT_BYTES = 14 << 20
-ORDINARY_BYTES, TOXIC_BYTES = 4_096, 8_192
-PREFIXES = (4, 5, 6)
+ORDINARY_BYTES, TOXIC_BYTES = 8_192, 16_384
+PREFIXES = (4, 5, 6, 7, 8)
 ODDS = 30
 # Windows are short: small tables, and the search that finds the cheapest parse.
-SEARCH = dict(window_log=14, chain_log=12, hash_log=12, search_log=6, min_match=MATCH, target_length=256, strategy=zstandard.STRATEGY_BTULTRA2)
-GRAM_TABLE = 1 << 18
+SEARCH = dict(window_log=14, chain_log=12, hash_log=12, search_log=6, min_match=5, target_length=256, strategy=zstandard.STRATEGY_BTULTRA2)
+MEMO = 1 << 18
 _WORDS = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
@@ -65,6 +65,7 @@ class Model:
 
     ordinary: bytes
     segments: bytes
+    beginnings: frozenset[bytes]
     weights: tuple[float, ...]
 
 
@@ -96,12 +97,12 @@ def _neighbourhoods(texts: list[bytes], prefix: int = 0) -> tuple[np.ndarray, np
     return *np.unique(key[new], return_counts=True), total
 
 
-def _telling(toxic: list[bytes], ordinary: list[bytes], prefix: int = 0) -> tuple[dict[int, int], dict[int, float]]:
-    """Of words (or beginnings) that toxic texts have far more often: places by hash; and odds of every word by hash."""
+def _telling(toxic: list[bytes], ordinary: list[bytes], prefix: int = 0) -> dict[int, int]:
+    """Words (or beginnings) that toxic texts have far more often: number of places by hash."""
     key, a, n_toxic = _neighbourhoods(toxic, prefix)
     usual, count, n_ordinary = _neighbourhoods(ordinary, prefix)
     if not len(key):
-        return {}, {}
+        return {}
     at = np.minimum(np.searchsorted(usual, key), max(len(usual) - 1, 0))
     b = np.where(usual[at] == key, count[at], 0) if len(usual) else np.zeros(len(key), np.int64)
     share = min(0.9, n_toxic / (n_toxic + n_ordinary + 1))
@@ -110,38 +111,53 @@ def _telling(toxic: list[bytes], ordinary: list[bytes], prefix: int = 0) -> tupl
     # Of as many words that tell nothing, less than one is kept by chance.
     chance = a * np.log(share / p) + b * np.log((1 - share) / np.maximum(1 - p, 1e-12))
     good = (a >= 4) & (odds >= ODDS) & (chance < -np.log(len(key) + 1))
-    return dict(zip(key[good].tolist(), a[good].tolist())), dict(zip(key.tolist(), odds.tolist())) if not prefix else {}
+    return dict(zip(key[good].tolist(), a[good].tolist()))
 
 
-def toxic_segments(toxic: list[bytes], ordinary: list[bytes], limit: int = TOXIC_BYTES) -> bytes:
-    """Words that toxic texts have far more often than ordinary ones, by the number of neighbourhoods they stand in."""
-    telling, odds = _telling(toxic, ordinary)
-    beginnings = {k: _telling(toxic, ordinary, k)[0] for k in PREFIXES}
-    kept = {}
-    for w in {w for text in toxic for w in _WORDS.findall(text.lower()) if len(w) > 2}:
-        h = xxhash.xxh3_64_intdigest(w)
-        if h in telling:
-            kept[w] = telling[h]
-        elif odds[h] >= ODDS and any(len(w) > k and xxhash.xxh3_64_intdigest(w[:k]) in beginnings[k] for k in PREFIXES):
-            kept[w] = 1
-    out, size = [], 0
-    for w in sorted(kept, key=lambda w: (-kept[w], w)):
-        if size + len(w) + 2 > limit:
-            break
-        out.append(b" " + w + b" ")
-        size += len(w) + 2
-    return b"".join(reversed(out))  # the most frequent nearest, where offsets cost least
+def code(part: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(part)
+
 
+def beginning_of(word: bytes, beginnings: frozenset[bytes]) -> bytes | None:
+    """The shortest telling beginning of a word."""
+    return next((word[:k] for k in PREFIXES if len(word) > k and word[:k] in beginnings), None) if beginnings else None
 
-def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
-    words = _WORDS.findall(text.lower())
-    return [b" " + b" ".join(words[i : i + size]) + b" " for i in range(0, len(words), size)]
 
+def spelled(word: bytes, beginnings: frozenset[bytes]) -> bytes:
+    begin = beginning_of(word, beginnings)
+    return code(word) if begin is None else code(b"^" + begin) + code(word)
 
-def ordinary_dictionary(texts: list[bytes], size: int = ORDINARY_BYTES) -> bytes:
-    samples = [w for t in texts for w in windows(t)]
+
+def toxic_segments(toxic: list[bytes], ordinary: list[bytes], limit: int = TOXIC_BYTES) -> tuple[bytes, frozenset[bytes]]:
+    """Codes of words and beginnings that tell toxic text, most frequent last; and those beginnings."""
+    telling = _telling(toxic, ordinary)
+    by_size = {k: _telling(toxic, ordinary, k) for k in PREFIXES}
+    words = {w for text in toxic for w in _WORDS.findall(text.lower())}
+    places: dict[bytes, int] = {}
+    beginnings: set[bytes] = set()
+    for w in words:
+        h = xxhash.xxh3_64_intdigest(w)
+        if len(w) > 2 and h in telling:
+            places[w] = telling[h]
+        for k in PREFIXES:
+            if len(w) > k and (n := by_size[k].get(xxhash.xxh3_64_intdigest(w[:k]))):
+                beginnings.add(w[:k])
+                places[b"^" + w[:k]] = n
+                break
+    kept = sorted(places, key=lambda w: (-places[w], w))[: limit // CODE]
+    # The most frequent nearest, where offsets cost least.
+    return b"".join(code(w) for w in reversed(kept)), frozenset(beginnings.intersection(w[1:] for w in kept if w[:1] == b"^"))
+
+
+def ordinary_dictionary(texts: list[bytes], beginnings: frozenset[bytes], size: int = ORDINARY_BYTES) -> bytes:
+    """What the windows of ordinary texts have in common, by zstandard's trainer."""
+    parts = []
+    for text in texts:
+        words = _WORDS.findall(text.lower())
+        parts += [words[i : i + WINDOW] for i in range(0, len(words), WINDOW)]
+    samples = [b"".join(spelled(w, beginnings) for w in part) for part in parts[:: max(1, len(parts) // 20_000)]]
     try:
-        return zstandard.train_dictionary(4 * size, samples[:: max(1, len(samples) // 20_000)]).as_bytes()[-size:]
+        return zstandard.train_dictionary(4 * size, samples).as_bytes()[-size:]
     except zstandard.ZstdError:  # too few samples to choose from
         return b"".join(samples)[-size:]
 
@@ -156,57 +172,45 @@ class Scorer:
             shared.precompute_compress(compression_params=params)
             return zstandard.ZstdCompressor(dict_data=shared, compression_params=params).compress
 
-        self.segments = model.segments
+        self.segments, self.beginnings = model.segments, model.beginnings
+        self.known: dict[bytes, bool] = {}
         if self.segments:
-            self.plain, self.toxic = compressor(model.ordinary or b" the "), compressor(model.segments + (model.ordinary or b" the "))
-            self.table = np.zeros(GRAM_TABLE, bool)
-            self.table[self.grams(np.frombuffer(model.segments, np.uint8))] = True
-
-    @staticmethod
-    def grams(raw: np.ndarray) -> np.ndarray:
-        """A table place for every ``MATCH`` bytes in a row."""
-        n = len(raw) - MATCH + 1
-        value = np.zeros(max(n, 0), np.uint64)
-        for k in range(MATCH):
-            value = (value << np.uint64(8)) | raw[k : k + n].astype(np.uint64)
-        return ((value * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-
-    def gain(self, window: bytes) -> int:
+            ordinary = model.ordinary or b" the the"
+            self.plain, self.toxic = compressor(ordinary), compressor(model.segments + ordinary)
+            self.codes = {model.segments[i : i + CODE] for i in range(0, len(model.segments), CODE)}
+
+    def tells(self, word: bytes) -> bool:
+        """Whether the spelling of a word has a code of the toxic dictionary; remembered for frequent words."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= MEMO:
+                self.known.clear()
+            begin = beginning_of(word, self.beginnings)
+            found = self.known[word] = code(word) in self.codes or begin is not None and code(b"^" + begin) in self.codes
+        return found
+
+    def gain(self, words: list[bytes]) -> int:
+        window = b"".join(spelled(w, self.beginnings) for w in words)
         return len(self.plain(window)) - len(self.toxic(window))
 
-    def features(self, text: bytes) -> tuple[int, int, int]:
-        """Largest gain of a window, largest gain of half a window, number of windows that gain."""
-        if not self.segments or len(text) < MATCH - 2:
-            return 0, 0, 0
+    def features(self, text: bytes) -> tuple[int, int]:
+        """Largest gain of a window, and the sum of the ``TOP`` largest."""
+        if not self.segments:
+            return 0, 0
         words = _WORDS.findall(text.lower())
-        if not words:
-            return 0, 0, 0
-        joined = b" " + b" ".join(words) + b" "
-        near = np.flatnonzero(self.table[self.grams(np.frombuffer(joined, np.uint8))])
-        if not len(near):
-            return 0, 0, 0
-        starts = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        begins = np.r_[0, starts[WINDOW - 1 :: WINDOW]]
-        best = half = count = 0
-        for k in np.unique(np.searchsorted(begins, near, "right") - 1).tolist():
-            part = words[k * WINDOW : (k + 1) * WINDOW]
-            gain = self.gain(b" " + b" ".join(part) + b" ") if part else 0
-            if gain > 0:
-                count += 1
-                best = max(best, gain)
-                for s in (0, WINDOW // 4, WINDOW // 2):
-                    half = max(half, self.gain(b" " + b" ".join(part[s : s + WINDOW // 2]) + b" "))
-        return best, half, count
-
-
-def design(best: np.ndarray, half: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The features as the score sees them, none of which grows without bound."""
-    best, half, count = (np.asarray(x, float) for x in (best, half, count))
-    return np.column_stack([np.ones(len(best)), best > 0, best > 1, np.minimum(best, 8) / 4, half > 0, np.minimum(half, 8) / 4, np.minimum(np.log1p(count), 3)])
-
-
-def score_of(weights: tuple[float, ...], best, half, count) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(design(best, half, count) @ np.asarray(weights), -30, 30)))
+        near = {i // WINDOW for i in compress(range(len(words)), map(self.tells, words))}
+        gains = sorted((max(0, self.gain(words[k * WINDOW : (k + 1) * WINDOW])) for k in near), reverse=True)
+        return max(gains, default=0), sum(gains[:TOP])
+
+
+def design(best: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """The features as the score sees them: gains in codes, none of which grows without bound or falls with a text's length."""
+    best, top = (np.asarray(x, float) for x in (best, top))
+    return np.column_stack([np.ones(len(best)), best > 0, best > CODE, np.minimum(best / CODE, 4), np.minimum(np.log1p(top / CODE), 3)])
+
+
+def score_of(weights: tuple[float, ...], best, top) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(design(best, top) @ np.asarray(weights), -30, 30)))
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 0.05) -> tuple[float, ...]:
@@ -223,6 +227,11 @@ def calibrate(x: np.ndarray, y: np.ndarray, penalty: float = 0.05) -> tuple[floa
     return tuple(float(v) for v in w)
 
 
+def trained(toxic: list[bytes], ordinary: list[bytes], weights: tuple[float, ...] = ()) -> Model:
+    segments, beginnings = toxic_segments(toxic, ordinary)
+    return Model(ordinary_dictionary(ordinary, beginnings), segments, beginnings, weights)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from a bounded sample of labelled rows whose fold is not 0; None without toxic ones."""
     spark = docs.sparkSession
@@ -254,28 +263,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         texts[toxic].append(((r["text"] or "").encode("utf-8", "surrogatepass"), its_fold))
     # Calibrated on fold 1 with dictionaries of the others; the dictionaries that score then learn fold 1 too.
     part = [[t for t, f in side if f > 1] for side in texts]
-    model = Model(ordinary_dictionary(part[0]), toxic_segments(part[1], part[0]), ())
-    rows = gains(known.where(fold("doc_id") == 1), model).select("doc_id", "best", "half", "windows").collect()
+    model = trained(part[1], part[0])
+    rows = gains(known.where(fold("doc_id") == 1), model).select("doc_id", "best", "top").collect()
     y = np.array([chosen[r["doc_id"]][0] for r in rows], float)
-    x = design(*([r[c] for r in rows] for c in ("best", "half", "windows"))) if rows else np.zeros((0, 7))
-    if not len(y) or y.min() == y.max():  # nothing to calibrate on: a gain of two bytes is the threshold
-        model.weights = (-3.0, 1.0, 4.0, 0.0, 0.0, 0.0, 0.0)
+    x = design(*([r[c] for r in rows] for c in ("best", "top"))) if rows else np.zeros((0, 5))
+    if not len(y) or y.min() == y.max():  # nothing to calibrate on: any gain is the threshold
+        weights = (-3.0, 4.0, 0.0, 0.0, 0.0)
     else:
-        model.weights = calibrate(x, y)
+        weights = calibrate(x, y)
     whole = [[t for t, _ in side] for side in texts]
-    return Model(ordinary_dictionary(whole[0]), toxic_segments(whole[1], whole[0]), model.weights)
+    return trained(whole[1], whole[0], weights)
 
 
 # -- scoring --------------------------------------------------------------------------------
 
 
 def _features(model: Model):
-    @F.pandas_udf("best int, half int, windows int")
+    @F.pandas_udf("best long, top long")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(model)
         for texts in batches:
             rows = [scorer.features((t or "").encode("utf-8", "surrogatepass")) for t in texts]
-            yield pd.DataFrame(rows, columns=["best", "half", "windows"]).astype("int32")
+            yield pd.DataFrame(rows, columns=["best", "top"]).astype("int64")
 
     return features
 
@@ -295,8 +304,8 @@ def scorer(model: Model | None):
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = Scorer(model)
         for texts in batches:
-            rows = np.array([of.features((t or "").encode("utf-8", "surrogatepass")) for t in texts], float).reshape(-1, 3)
-            yield pd.Series(score_of(model.weights, rows[:, 0], rows[:, 1], rows[:, 2]))
+            rows = np.array([of.features((t or "").encode("utf-8", "surrogatepass")) for t in texts], float).reshape(-1, 2)
+            yield pd.Series(score_of(model.weights, rows[:, 0], rows[:, 1]))
 
     return score
 
