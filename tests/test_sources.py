@@ -1,8 +1,13 @@
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import Dim, prepare_side, star_join
 from tidemark.operators.ranking import top_row_per_group_window
-from tidemark.sinks.tables import write_landing_snapshot
+from tidemark.plans.series_specs import pr_data
+from tidemark.sinks.manifest import ROW_SCHEMA, append_manifest
+from tidemark.sinks.tables import AppendOnlyTable, write_landing_snapshot
 from tidemark.sources.delimited import read_delimited
 from tidemark.sources.tables import load_fixture
 
@@ -18,6 +23,37 @@ def test_read_delimited_batch_mixed_headers(spark, scratch):
     assert df.filter(F.col("_ingested_at").isNull()).count() == 0
 
 
+def test_values_under_blank_and_repeated_headers_are_rescued(spark, scratch):
+    lines = ["a\t b\ta\t\t", "1\t2\t3\tSECRET\t", "4\t5\t\t\t", "6\t7\t8\t9\t10\t11", "12"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{scratch}/ds__20260101T000000Z")
+    df = read_delimited(spark, f"{scratch}/ds__20260101T000000Z")
+    assert df.columns[:2] == ["a", " b"] and df.columns[2] == "_rescued_data"
+    got = {r["a"]: (r[" b"], json.loads(r["_rescued_data"])["_extra_values"] if r["_rescued_data"] else None) for r in df.collect()}
+    assert got == {"1": ("2", ["3", "SECRET"]), "4": ("5", None), "6": ("7", ["8", "9", "10", "11"]), "12": (None, None)}
+
+
+def test_ledger_refuses_the_sequence_number_of_another_run(spark, scratch):
+    table = AppendOnlyTable(spark, f"{scratch}/ledger")
+
+    def rows(run, n):
+        values = [("src", f"d{k}", "20260101T000000Z", "ERROR", 500, None, None, None, "u", None, run, "no") for k in range(n)]
+        return spark.createDataFrame(values, ROW_SCHEMA).withColumn("fetched_at", F.current_timestamp())
+
+    append_manifest(table, rows("run-A", 2), 1)
+    append_manifest(table, rows("run-A", 3), 1)
+    with pytest.raises(ValueError):
+        append_manifest(table, rows("run-B", 1), 1)
+    append_manifest(table, rows("run-B", 1), 2)
+    assert sorted(r["run_id"] for r in table.read().collect()) == ["run-A"] * 3 + ["run-B"]
+
+
+def test_years_after_the_current_one_are_not_plausible(spark):
+    rule = next(r for r in pr_data().rules if r.name == "plausible_year")
+    now = spark.sql("SELECT year(current_date())").first()[0]
+    years = spark.createDataFrame([(1899,), (1900,), (now,), (now + 1,), (2050,)], "year int")
+    assert [r.year for r in years.where(rule.predicate).collect()] == [1900, now]
+
+
 def test_load_fixture_json_and_tsv(spark, scratch):
     spark.createDataFrame([(1, "a")], "k int, v string").write.json(f"{scratch}/fx.json")
     assert load_fixture(spark, f"{scratch}/fx.json", "k int, v string").collect()[0].v == "a"

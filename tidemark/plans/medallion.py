@@ -42,10 +42,18 @@ class Namespace:
 
     @classmethod
     def from_session(cls, spark: SparkSession, root: str | None = None) -> "Namespace":
-        """Prefix and env from session configuration (``tidemark.prefix`` / ``tidemark.env``)."""
+        """Names from session configuration: ``tidemark.prefix``, ``tidemark.env`` and ``tidemark.root``.
+
+        The root is where the product lives from run to run. Only a local session may leave it out: it gets a fresh one.
+        """
         prefix = spark.conf.get("tidemark.prefix", "tidemark")
         env = spark.conf.get("tidemark.env", "dev")
-        return cls(prefix, env, root or scratch_path(spark, "medallion"))
+        root = root or spark.conf.get("tidemark.root", None)
+        if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("tidemark.root must name the product's folder on shared storage")
+            root = scratch_path(spark, "medallion")
+        return cls(prefix, env, root)
 
 
 def layout_for(layout: Layout, spec: SourceSpec) -> Layout:
@@ -66,7 +74,7 @@ def refresh_all_bronze(spark: SparkSession, layout: Layout, specs: list[SourceSp
         await_query(q)
 
 
-def refresh_all_silver(spark: SparkSession, layout: Layout, max_year: int = 2100, only: set[str] | None = None) -> dict[str, VersionedTable]:
+def refresh_all_silver(spark: SparkSession, layout: Layout, max_year: int | None = None, only: set[str] | None = None) -> dict[str, VersionedTable]:
     """Refresh every silver table whose bronze table exists; the streams run concurrently."""
     started = {}
     for name, spec in silver_specs(max_year).items():
@@ -128,7 +136,7 @@ def refresh_gold(spark: SparkSession, layout: Layout, stats_years: tuple[int, in
 
 
 def refresh_everything(
-    spark: SparkSession, layout: Layout, max_year: int = 2100, stats_years: tuple[int, int] = POPULATION_STATS_YEARS
+    spark: SparkSession, layout: Layout, max_year: int | None = None, stats_years: tuple[int, int] = POPULATION_STATS_YEARS
 ) -> dict[str, DataFrame]:
     refresh_all_bronze(spark, layout)
     refresh_all_silver(spark, layout, max_year)

@@ -16,7 +16,8 @@ Here each line is mapped to the header of *its own* file, by name:
    line is split on the separator and zipped with its file's header names;
 4. the output has one column per header name seen in the batch (all STRING,
    names kept verbatim, padding included), NULL where a file lacks a column;
-   values beyond the header width go to ``_rescued_data`` as JSON.
+   values beyond the header width, and values under a blank or repeated
+   header name, go to ``_rescued_data`` as JSON.
 
 Everything runs in tasks; the driver only sees one header row per file
 (bounded per micro-batch) to build the projection and the broadcast side.
@@ -73,26 +74,30 @@ def map_lines_to_headers(positioned: DataFrame, headers: DataFrame, sep: str = "
     ``headers`` has one row per file and is broadcast (its size is the number
     of files in the batch, which the caller bounds).
     """
-    joined = positioned.join(F.broadcast(headers), "__path", "inner").filter(
+    # A field is named by the first header that has its name; fields under blank and repeated names are rescued.
+    named = F.transform("__header", lambda h, i: h.rlike(r"\S") & (F.array_position("__header", h) == i + 1))
+    joined = positioned.join(F.broadcast(headers.withColumn("__named", named)), "__path", "inner").filter(
         (F.col("__pos") != F.col("__header_pos")) & (F.col("__line") != "")
     )
     fields = F.split(F.col("__line"), _regex_quote(sep), -1)
-    aligned = F.transform(F.col("__header"), lambda _h, i: F.get(fields, i))
+    columns = F.filter("__header", lambda _h, i: F.get("__named", i))
+    aligned = F.filter(F.transform("__header", lambda _h, i: F.struct(F.get("__named", i).alias("named"), F.get(fields, i).alias("value"))), lambda x: x["named"])
+    unnamed = F.filter(fields, lambda value, i: ~F.coalesce(F.get("__named", i), F.lit(True)) & (value != ""))
     extra = F.slice(fields, F.size(F.col("__header")) + 1, F.greatest(F.size(fields) - F.size(F.col("__header")), F.lit(0)))
     rescued = F.when(
-        F.size(fields) > F.size(F.col("__header")),
-        F.to_json(F.struct(extra.alias("_extra_values"), F.col("__path").alias("_file_path"))),
+        (F.size(fields) > F.size(F.col("__header"))) | (F.size(unnamed) > 0),
+        F.to_json(F.struct(F.concat(unnamed, extra).alias("_extra_values"), F.col("__path").alias("_file_path"))),
     )
     return joined.select(
         "__path",
-        F.map_from_arrays(F.col("__header"), aligned).alias("__fields"),
+        F.map_from_arrays(columns, aligned["value"]).alias("__fields"),
         rescued.alias(RESCUED),
     )
 
 
 def header_union(header_rows: list, existing: list[str] | None = None) -> list[str]:
     """Ordered union of column names: existing table columns first, then new ones
-    in first-seen order (additive evolution; nothing is ever dropped)."""
+    in first-seen order (additive evolution). Blank names get no column: their values are rescued."""
     names = list(existing or [])
     for header in sorted({tuple(r["__header"]) for r in header_rows}):
         for n in header:
