@@ -1,8 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.sinks import maintenance
 from tidemark.sinks.maintenance import compact, file_stats, retain, retention_plan
 from tidemark.sinks.manifest import ERROR, FETCHED, UNCHANGED, manifest_rows
-from tidemark.sinks.tables import AppendOnlyTable, VersionedTable
+from tidemark.sinks.tables import AppendOnlyTable, CommitConflict, VersionedTable, write_landing_snapshot
+from tidemark.sources.delimited import read_delimited
 
 
 def test_versioned_table_ignores_uncommitted_version(spark, scratch):
@@ -65,3 +68,28 @@ def test_manifest_null_rules(spark):
     e = got[ERROR]
     assert (e.content_sha256, e.last_modified, e.bytes, e.landing_path, e.error_message) == (None, None, None, None, "boom")
     assert len(manifest_rows(rows).columns) == 13
+
+
+def test_compaction_does_not_replace_a_commit_made_meanwhile(spark, scratch, monkeypatch):
+    table = VersionedTable(spark, f"{scratch}/raced")
+    table.commit(spark.range(10).toDF("k"))
+    stats = maintenance.file_stats
+
+    def overtaken(df):
+        table.commit(spark.range(25).toDF("k"))
+        return stats(df)
+
+    monkeypatch.setattr(maintenance, "file_stats", overtaken)
+    with pytest.raises(CommitConflict):
+        maintenance.compact(table)
+    assert table.current_version() == 1 and table.read().count() == 25
+
+
+def test_landing_keeps_commas_quotes_and_padding_and_rejects_breaks(spark, scratch):
+    rows = [("k1", "Smith, John"), ("k2", 'say "hi", \\ and \\n'), ("k3", "  padded  "), ("k4", ""), ("k5", "#1, 'x'")]
+    write_landing_snapshot(spark.createDataFrame(rows, "key string, name string"), scratch, "s", "d", "20260101T000000Z")
+    got = read_delimited(spark, f"{scratch}/s/d/d__20260101T000000Z").select("key", "name", "_rescued_data").collect()
+    assert sorted(map(tuple, got)) == [(*r, None) for r in rows]
+    for k, value in enumerate(("a\tb", "a\nb", "a\rb", "a\x00b", "a\x01b")):
+        with pytest.raises(Exception, match="separator or a line break"):
+            write_landing_snapshot(spark.createDataFrame([("k", value)], "key string, name string"), scratch, "s", f"bad{k}", "20260101T000000Z")

@@ -3,7 +3,8 @@
 Compaction writes a new version with the same rows in fewer, larger files
 (optionally range-clustered on keys); retention removes versions that are
 no longer current and older than a cutoff. Both go through
-:class:`VersionedTable`, so readers always see a committed version.
+:class:`VersionedTable`, so readers always see a committed version, and a
+compaction that another commit has overtaken fails with ``CommitConflict``.
 """
 
 from __future__ import annotations
@@ -32,16 +33,17 @@ def compact(table: VersionedTable, target_file_bytes: int = DEFAULT_TARGET_FILE_
     (so later scans prune by min/max statistics); otherwise rows are
     redistributed round-robin.
     """
-    current = table.read()
-    if current is None:
+    version = table.current_version()
+    if version is None:
         raise ValueError(f"{table.path} has no committed version")
+    current = table.read(version)
     _, size = file_stats(current)
     n_files = max(1, math.ceil(size / target_file_bytes))
     if cluster_by:
         out = current.repartitionByRange(n_files, *cluster_by).sortWithinPartitions(*cluster_by)
     else:
         out = current.repartition(n_files)
-    return table.commit(out, note="compact")
+    return table.commit(out, note="compact", current=version)
 
 
 def retention_plan(table: VersionedTable, older_than_hours: float) -> DataFrame:

@@ -29,10 +29,24 @@ from tidemark.session import path_exists
 
 # ---------------------------------------------------------------- landing
 
+# The CSV writer gets whole lines as its only field: its own separator and quote are characters that no line has.
+_NO_FIELD, _NO_QUOTE = "\x01", "\x00"
+
+
 def snapshot_lines(df: DataFrame, sep: str = "\t", extra_field: str | None = None):
-    """The data lines of a delimited snapshot as one column named by the header line."""
+    """The data lines of a delimited snapshot as one column named by the header line.
+
+    A line has no quoting, so a value with the separator, a line break or a
+    control character of the writer cannot be told from other fields: it fails the write.
+    """
     header = [c for c in df.columns if c != extra_field]
-    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in header]
+    breaking = "[" + "".join(rf"\x{{{ord(ch):x}}}" for ch in f"{sep}\r\n{_NO_QUOTE}{_NO_FIELD}") + "]"
+
+    def field(name: str):
+        text = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+        return F.when(text.rlike(breaking), F.raise_error(F.lit(f"{name.strip()}: a value holds a separator or a line break"))).otherwise(text)
+
+    values = [field(c) for c in header]
     if extra_field is not None:
         values.append(F.col(f"`{extra_field}`"))  # concat_ws skips it where NULL
     return F.concat_ws(sep, *values).alias(sep.join(header))
@@ -62,6 +76,7 @@ def write_landing_snapshot(
     (
         df.select(line).write.mode("errorifexists")
         .option("header", True)
+        .option("sep", _NO_FIELD)
         .option("quote", "")
         .option("escape", "")
         .option("emptyValue", "")
@@ -112,6 +127,10 @@ class AppendOnlyTable:
 LOG_DIR = "_commits"
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed a version since the one that this commit was derived from."""
+
+
 @dataclass
 class VersionedTable:
     """A table whose every version is a complete snapshot, committed by a log row."""
@@ -160,19 +179,26 @@ class VersionedTable:
             return None
         return self.spark.read.parquet(self.version_path(v))
 
+    def _expected(self, current: int | None) -> int | None:
+        """The current version, which must be ``current`` unless that is -1."""
+        now = self.current_version()
+        if current not in (-1, now):
+            raise CommitConflict(f"{self.path}: derived from version {current}, but the table is at {now}")
+        return now
+
     def commit(self, df: DataFrame, batch_id: int = -1, stream: str = "", note: str = "", current: int | None = -1) -> int:
         """Write ``df`` as the next version, then append its log row (the commit point).
 
-        ``current`` is the version ``df`` was derived from when the caller has
-        already read it (saves a read of the log); the row count is observed
-        during the write itself.
+        ``current`` is the version ``df`` was derived from. If the table has
+        moved on since, before or during the write, nothing is logged and
+        :class:`CommitConflict` is raised. The row count is observed during the write itself.
         """
-        if current == -1:
-            current = self.current_version()
+        current = self._expected(current)
         version = 0 if current is None else current + 1
         obs = Observation(f"commit_{uuid.uuid4().hex}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.version_path(version))
         written = int(obs.get.get("rows", 0))
+        self._expected(current)
         self.spark.createDataFrame(
             [(version, int(batch_id), stream, note, written)],
             "version int, batch_id long, stream string, note string, rows long",
@@ -206,8 +232,7 @@ class BucketedVersionedTable(VersionedTable):
         return self.spark.read.parquet(self.version_path(v))
 
     def commit(self, df: DataFrame, batch_id: int = -1, stream: str = "", note: str = "", current: int | None = -1) -> int:
-        if current == -1:
-            current = self.current_version()
+        current = self._expected(current)
         version = 0 if current is None else current + 1
         obs = Observation(f"commit_{uuid.uuid4().hex}")
         self.spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": self._table(version)})  # an uncommitted attempt
@@ -218,6 +243,7 @@ class BucketedVersionedTable(VersionedTable):
             .saveAsTable(self._table(version))
         )
         written = int(obs.get.get("rows", 0))
+        self._expected(current)
         self.spark.createDataFrame(
             [(version, int(batch_id), stream, note, written)],
             "version int, batch_id long, stream string, note string, rows long",
