@@ -53,8 +53,8 @@ FIT_BYTES = 14 << 20
 ORDINARY_BYTES, TOXIC_BYTES = 8_192, 16_384
 PREFIXES = (4, 5, 6, 7, 8)
 ODDS = 30
-# Windows are short: small tables, and the search that finds the cheapest parse.
-SEARCH = dict(window_log=14, chain_log=12, hash_log=12, search_log=6, min_match=5, target_length=256, strategy=zstandard.STRATEGY_BTULTRA2)
+# The search that finds the cheapest parse, with a window and tables that hold every position of either dictionary.
+SEARCH = dict(window_log=16, chain_log=17, hash_log=16, search_log=6, min_match=5, target_length=256, strategy=zstandard.STRATEGY_BTULTRA2)
 MEMO = 1 << 18
 _WORDS = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
