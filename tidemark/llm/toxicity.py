@@ -18,8 +18,8 @@ gains nothing and need not be compressed.
 
 The fit reads a bounded, reproducible sample of labelled rows: at most
 ``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary documents (lowest hashes of
-doc_id) and ``FIT_BYTES`` of text for the dictionaries, and ``CALIBRATE``
-documents for the calibration. Every document is then scored over its whole text.
+doc_id) and ``FIT_BYTES`` of text for the dictionaries (a document that does not fit in what is left is passed over), and
+``CALIBRATE`` documents for the calibration. Every document is then scored over its whole text.
 
 Defined cases: null and empty texts have no window and get the score of no
 gain; without toxic labels every score is 0; a document with several labels is
@@ -248,14 +248,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     ids = F.broadcast(spark.createDataFrame([(i,) for i in chosen], "doc_id long"))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    # Whole documents in order of their hashes, as many as FIT_BYTES hold.
-    sizes = sorted((chosen[r[0]][2], r[0], r[1] or 0) for r in known.select("doc_id", F.octet_length("text")).collect())
+    # Whole documents in order of their hashes, as many as FIT_BYTES hold; one that does not fit is passed over.
+    sizes = known.groupBy("doc_id").agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).collect()
     total, taken = 0, set()
-    for _, doc, size in sizes:
-        total += size
-        if total > FIT_BYTES:
-            break
-        taken.add(doc)
+    for _, doc, size in sorted((chosen[r["doc_id"]][2], r["doc_id"], r["size"]) for r in sizes):
+        if total + size <= FIT_BYTES:
+            total += size
+            taken.add(doc)
     learn = F.broadcast(spark.createDataFrame([(i,) for i in sorted(taken)], "doc_id long"))
     texts: tuple[list, list] = ([], [])
     for r in sorted(known.join(learn, "doc_id", "left_semi").collect(), key=lambda r: (chosen[r["doc_id"]][2], r["text"] or "")):
