@@ -34,3 +34,13 @@ def test_one_long_document_does_not_end_the_sample(spark, monkeypatch):
     labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in ids], "doc_id long, toxic int")
     kept = {r.doc_id for r in toxicity.drop_toxic(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
     assert kept == {k for k in ids if k % 4}
+
+
+def test_windows_that_are_not_compressed_would_gain_next_to_nothing():
+    rng = random.Random(2)
+    calm = [b"calm%d" % k for k in range(900)]
+    ordinary = b"".join(map(toxicity.code, calm[: toxicity.ORDINARY_BYTES // toxicity.CODE]))
+    scorer = toxicity.Scorer(toxicity.Model(ordinary, b"".join(toxicity.code(b"toxic%d" % k) for k in range(1024)), frozenset(), ()))
+    windows = [rng.choices(calm, k=toxicity.WINDOW) for _ in range(500)]
+    assert not any(scorer.tells(w) for words in windows for w in words)
+    assert max(abs(scorer.gain(words)) for words in windows) < toxicity.CODE // 2

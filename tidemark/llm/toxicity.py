@@ -1,11 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text, one on ordinary
-windows and one on toxic text. A text is cut into windows of ``WINDOW`` words (runs of letters, lower-cased in ASCII),
-and each is compressed with either; what it gains from the toxic dictionary is
+Two zstandard dictionaries stand for ordinary and for toxic text. A text is cut into windows of ``WINDOW`` words (runs of
+letters, lower-cased in ASCII), and each is compressed with either; what it gains from the toxic dictionary is
 its distance. The gains of a document, calibrated on labelled documents
 that the dictionaries had not seen, give a score.
 
+Only the ordinary dictionary is trained by zstandard. The toxic one is a selected word list, spelled as codes, before the
+same ordinary content; dictionaries trained on toxic windows do worse on held-out documents (figures in the README).
+
 *Spelling.* A word is spelled as a code of ``CODE`` bytes, so that a short word is as long a match as a long one
 and parts of other words match nothing. A word with a telling beginning is spelled as two codes, of that beginning and of itself.
 *Ordinary dictionary*: zstandard's trainer over windows of ordinary documents.
@@ -14,7 +16,8 @@ before the same ordinary content. They stand in ``ODDS`` times more different ne
 (previous and next word) in toxic documents than in ordinary ones, too many for
 chance; a copy of a document adds no neighbourhood. Because both
 dictionaries end alike, an ordinary window costs the same bytes in both: a window without a telling code
-gains nothing and need not be compressed.
+gains next to nothing (a byte or two, by other offsets) and is not compressed. So a document
+whose toxic words are all too rare, or as usual in ordinary text, scores nothing.
 
 The fit reads a bounded, reproducible sample of labelled rows: at most
 ``FIT_TOXIC`` toxic and ``FIT_ORDINARY`` ordinary documents (lowest hashes of
