@@ -6,8 +6,9 @@ linear scan. Weights come from labelled pages, those that mark their content
 with ``article`` or ``main``: the log-odds of a tag (with its class) and of a
 word by the container it stands in, inside against outside the marked content.
 A word's weight lies in [-4, 4] and is positive in containers not seen; a tag's
-lies in [-4, -0.01], -1 if not seen. The fit reads at most ``FIT_PAGES``
-labelled pages, those with the lowest hashes of their id.
+lies in [-4, -0.01], -1 if not seen. The fit takes the ``FIT_PAGES``
+labelled pages with the lowest hashes of their id, equal rows once, and reads whole pages of any size in that order as long as
+``FIT_BYTES`` hold; a page that does not fit in the rest is passed over.
 
 Elements that are not article text may stand in the run, at next to no cost, and do not end it. Whole elements
 of that kind are left out: menus, headers, footers, sidebars, forms, scripts, styles and the like by
@@ -174,11 +175,22 @@ def extract(page: str, weights: dict[str, float]) -> str:
 
 
 def fit(pages: DataFrame) -> dict[str, float]:
-    """Weights from a bounded sample of labelled pages, counted in one task each."""
-    bounded_batches(pages.sparkSession, 256)
-    labelled = pages.where(F.lower("html").rlike(r"<(article|main)[\s>]"))
-    # The sample: lowest hashes of the id, whole pages of at most a 2000th of the byte bound.
-    ids = labelled.where(F.octet_length("html") <= FIT_BYTES // FIT_PAGES).select("html", F.xxhash64(F.col("page_id").cast("string")).alias("order")).orderBy("order").limit(FIT_PAGES)
+    """Weights from a bounded sample of labelled pages; the driver sees hashes and sizes of ``FIT_PAGES`` pages at most."""
+    spark = pages.sparkSession
+    bounded_batches(spark, 256)
+    keyed = pages.select("html", F.xxhash64(F.col("page_id").cast("string")).alias("order"))
+    content, size = F.xxhash64("html").alias("content"), F.octet_length("html").alias("size")
+    labelled = keyed.where(F.lower("html").rlike(r"<(article|main)[\s>]")).where(F.octet_length("html") <= FIT_BYTES)
+    # The sample: lowest hashes of the id, whole pages; one that does not fit in the rest of the byte bound is passed over.
+    total, taken = 0, []
+    for r in labelled.select("order", content, size).distinct().orderBy("order", "content").limit(FIT_PAGES).collect():
+        if total + r["size"] <= FIT_BYTES:
+            total += r["size"]
+            taken.append((r["order"], r["content"]))
+    chosen = F.broadcast(spark.createDataFrame(taken, "order long, content long"))
+    # Contents are hashed only for pages with a chosen id; of equal rows one is read.
+    near = keyed.join(chosen.select("order").distinct(), "order", "left_semi").withColumn("content", content)
+    ids = near.join(chosen, ["order", "content"], "left_semi").dropDuplicates(["order", "content"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = count_features(p for b in batches for p in b.column(0).to_pylist())
