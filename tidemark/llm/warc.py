@@ -19,8 +19,8 @@ includes the id, so even a single URL's captures can be split. ``capture`` numbe
 captures within their range, which is ``range``; both together order the whole index.
 
 Defined cases: null html is an empty payload; a null url gets an empty target and key; pages have no
-capture time, so it is derived from the id, a second each; rows with the id of the response are responses themselves; a null
-id sorts first; an empty table gives empty archives and an empty result; other columns are not looked at.
+capture time, so it is derived from the id, a second each; rows with the id of the response are responses themselves; of a repeated or null
+id, each payload is a response or a revisit on its own; payloads that only null ids have are all responses; a null id sorts first; an empty table gives empty archives and an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -138,7 +138,7 @@ def merge_runs(runs: list[list[tuple]]) -> Iterator[tuple]:
         tree[0] = winner
 
 
-def _write(least: int, archive_bytes: int):
+def _write(archive_bytes: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -148,8 +148,6 @@ def _write(least: int, archive_bytes: int):
             columns = [b.column(k).to_pylist() for k in (0, 1, 3)]
             for page_id, url, refers_to, payload in zip(*columns, utf8(b.column(2))):
                 size, digest = len(payload), digest32(payload)
-                if size < least:  # a repeated id may have both a long and a short payload
-                    refers_to = None
                 if filled and filled + size > archive_bytes:
                     number, filled = number + 1, 0
                 filled += 256 + (size if refers_to is None else 0)
@@ -165,19 +163,16 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, archive_bytes: i
     bounded_batches(pages.sparkSession, 512)
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = utf8(b.column(1))
-            yield pa.RecordBatch.from_pydict({"page_id": b.column(0), "size": pa.array([len(t) for t in texts], pa.int64()), "digest": pa.array([digest32(t) for t in texts], pa.string())})
-
     # Ids and digests alone decide which records are revisits; payloads are not shuffled for it.
-    marks = stored(slim.select("page_id", "html").mapInArrow(hashed, "page_id long, size long, digest string"), "warc-digests")
+    slim = slim.withColumn("digest", F.sha1(F.col("html").cast("binary")))
+    marks = stored(slim.select("page_id", F.octet_length("html").cast("long").alias("size"), "digest"), "warc-digests")
     groups = marks.where(F.col("size") >= least).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    revisits = marks.join(groups, "digest").where("page_id < first or page_id is null").select("page_id", "first").distinct()
+    # A mark is of one id and one payload: rows of an id with other payloads are looked at on their own.
+    revisits = marks.join(groups, "digest").where("page_id < first or page_id is null and first is not null").select("page_id", "digest", "first").distinct()
     # Rows without an equal one, nearly all, are written where they are read.
     later = F.broadcast(revisits) if revisits.count() <= BROADCAST_ROWS else revisits
-    met = slim.alias("p").join(later.alias("r"), F.expr("p.page_id <=> r.page_id"), "left").select("p.page_id", "url", "html", F.col("first").alias("refers_to"))
-    out = met.mapInArrow(_write(least, archive_bytes), "value string, archive string")
+    met = slim.alias("p").join(later.alias("r"), F.expr("p.page_id <=> r.page_id and p.digest = r.digest"), "left").select("p.page_id", "url", "html", F.col("first").alias("refers_to"))
+    out = met.mapInArrow(_write(archive_bytes), "value string, archive string")
     out.write.partitionBy("archive").option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
