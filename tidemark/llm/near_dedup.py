@@ -31,7 +31,7 @@ The same sets (and so all copies) are one class from the start. Classes are name
 Defined cases: null text and text without words give the empty set, linked with
 nothing, its own component; shorter texts are one shingle; repeated rows and ids
 each get a row (a repeated id with other text is linked by its text, and named by its
-id); a null id gets a component of what it is linked with, null if nothing;
+id); a null id gets a component of what it is linked with, null if that has no id; rows without any id link others too;
 empty tables give empty results; other columns are not looked at.
 """
 
@@ -106,7 +106,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
                 signs.append(signature(s) if len(s) else None)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0), "n": pa.array(sizes, pa.int64()), "c": pa.array(names, pa.int64()),
+                "doc_id": batch.column(0), "row": batch.column(2), "n": pa.array(sizes, pa.int64()), "c": pa.array(names, pa.int64()),
                 "sign": pa.array(signs, pa.list_(pa.int32()))})
 
 
@@ -153,14 +153,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def class_components(classes: DataFrame, docs: DataFrame, percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
     """c, root for classes that are linked with others.
 
-    ``classes``: c, rep, sign; ``docs``: doc_id, text. The text of a class is that of its ``rep``. A repeated id may
-    bring along the text of another class, whose set is then there without being asked for.
+    ``classes``: c, rep, row, sign; ``docs``: doc_id, text, row. The text of a class is that of its ``rep`` (null if no row of
+    it has an id) and ``row``.
     """
     spark = classes.sparkSession
     postings = stored(prefix_postings(classes, matches), "near-postings")
     release_shuffles(spark)
     signs = stored(classes.join(postings.select("c").distinct(), "c", "left_semi"), "near-signs")
-    needed = docs.join(signs.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    reps = signs.select("rep", F.col("row").alias("of"))
+    needed = docs.join(reps, docs["doc_id"].eqNullSafe(reps["rep"]) & (docs["row"] == reps["of"]), "left_semi").select("text")
     sets = stored(needed.mapInArrow(_sets, "c long, shingles array<long>").dropDuplicates(["c"]), "near-sets")
     release_shuffles(spark)
     pivots = postings.groupBy("e").agg(F.max(F.struct("weight", "c")).alias("p"), F.count("*").alias("listed")).where("listed > 1")
@@ -239,39 +240,51 @@ def _cell_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, matches: int = MATCHES) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every document; then ``c``, the name of its set."""
+    """doc_id, n_shingles, component_id, kept for every document; then ``c``, the name of its set, ``root``, that of its component (null without words), and ``row``."""
     bounded_batches(docs.sparkSession, 512)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = stored(slim.mapInArrow(_sign, "doc_id long, n long, c long, sign array<int>"), "near-signed")
+    # A row is told from others with its id, or without one, by a hash of its text.
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
+    signed = stored(slim.mapInArrow(_sign, "doc_id long, row long, n long, c long, sign array<int>"), "near-signed")
     some = signed.where("n > 0")
-    classes = stored(some.groupBy("c").agg(F.min("doc_id").alias("rep"), F.any_value("sign").alias("sign")), "near-classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    classes = some.groupBy("c").agg(first.alias("first"), F.any_value("sign").alias("sign"))
+    classes = stored(classes.select("c", F.col("first.doc_id").alias("rep"), F.col("first.row").alias("row"), "sign"), "near-classes")
     release_shuffles(docs.sparkSession)
-    roots = class_components(classes.where("rep is not null"), slim, percent, matches)
+    roots = class_components(classes, slim, percent, matches)
     named = classes.select("c", "rep").join(roots.withColumnRenamed("node", "c"), "c", "left").select("c", "rep", F.coalesce("root", "c").alias("root"))
     low = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    place = named.join(low, "root").select("c", "component_id")
-    linked = some.select("doc_id", "n", "c").join(place, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "c")
-    empty = signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "c")
-    return linked.unionByName(empty).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "c")
+    place = named.join(low, "root").select("c", "root", "component_id")
+    linked = some.select("doc_id", "row", "n", "c").join(place, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "c", "root", "row")
+    empty = signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "c", F.lit(None).cast("long").alias("root"), "row")
+    return linked.unionByName(empty).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "c", "root", "row")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, all columns: the one with the smallest id; of its repeated rows, one."""
+    """One document of each group, all columns: of the rows with the smallest id (or without any) one; a document without words
+    is its own group, of whose equal rows one stays."""
     groups = stored(near_groups(docs, id_col, text_col), "near-groups")
-    gone = groups.where("not kept").select(F.col("doc_id").alias(fresh_name(docs, "gone"))).distinct()
-    name = gone.columns[0]
-    left = docs.join(gone, docs[id_col].cast("long") == gone[name], "left_anti")
-    twice = groups.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias(name))
+    name, row = fresh_name(docs, "gone"), fresh_name(docs, "row_hash")
+    rows = groups.groupBy("doc_id", "row", "root").agg(F.count("*").alias("times"))
+    first = rows.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("id"), F.col("first.row").alias("its"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("its"))
+    gone = rows.where("root is not null").join(first, same, "left_anti").select(F.col("doc_id").alias(name), F.col("row").alias(row))
+
+    def met(frame: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return frame.join(keys, frame[id_col].cast("long").eqNullSafe(keys[name]) & (F.xxhash64(frame[text_col].cast("string")) == keys[row]), how)
+
+    left = met(docs, gone, "left_anti")
+    twice = stored(rows.where("times > 1").select(F.col("doc_id").alias(name), F.col("row").alias(row)), "near-twice")
     if twice.isEmpty():
         return left
-    copies = left.join(twice, left[id_col].cast("long").eqNullSafe(twice[name]), "left_semi")
+    copies = met(left, twice, "left_semi")
     whole = fresh_name(docs, "whole_row")
     kept = copies.groupBy(id_col, text_col).agg(F.max(F.struct(*docs.columns)).alias(whole)).select(f"{whole}.*")
-    return left.join(twice, left[id_col].cast("long").eqNullSafe(twice[name]), "left_anti").unionByName(kept)
+    return met(left, twice, "left_anti").unionByName(kept)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents")).drop("c")
+    return near_groups(table(spark, sf_dir, "documents")).drop("c", "root", "row")
 
 
 ORACLE = r"""
