@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann, bpe, chat, collocations, exact_dedup, html_text, mixing, near_dedup, substring_dedup, toxicity, warc
+from tidemark.llm import ann, bpe, chat, collocations, exact_dedup, html_text, mixing, near_dedup, substring_dedup, toxicity, warc, whitening
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_format": chat.query,
     "op9_toxicity": toxicity.query,
     "op10_byte_bpe": bpe.query,
+    "op11_embedding_whitening": whitening.query,
     "op13_phrase_collocations": collocations.query,
 }
 ORACLES = {
