@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann, bpe, chat, collocations, exact_dedup, html_text, mixing, near_dedup, substring_dedup, toxicity, warc, whitening
+from tidemark.llm import ann, bpe, chat, collocations, exact_dedup, html_text, jaccard_join, mixing, near_dedup, substring_dedup, toxicity, warc, whitening
 
 QUERIES = {
     "op1_minhash_near_dedup": near_dedup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.query,
     "op10_byte_bpe": bpe.query,
     "op11_embedding_whitening": whitening.query,
+    "op12_jaccard_join": jaccard_join.query,
     "op13_phrase_collocations": collocations.query,
 }
 ORACLES = {
@@ -24,5 +25,6 @@ ORACLES = {
     "op3_html_extraction": html_text.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op8_chat_format": chat.ORACLE,
+    "op12_jaccard_join": jaccard_join.ORACLE,
     "op13_phrase_collocations": collocations.ORACLE,
 }
