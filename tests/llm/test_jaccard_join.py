@@ -4,8 +4,6 @@ import random
 import re
 
 import numpy as np
-import pytest
-
 from tidemark.llm import jaccard_join
 
 SCHEMA = "doc_id long, text string, k long, h long, size long, root long, bits binary"
@@ -85,14 +83,13 @@ def test_sizes_ids_and_shared_passage(spark):
     assert got(jaccard_join.jaccard_components(frame(spark, rows).repartition(5))) == expected(rows)
 
 
-@pytest.mark.parametrize("dense", [0, 1000])
-def test_long_lists_in_tiles(spark, monkeypatch, dense):
+def test_long_lists_in_tiles(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT", 4)  # most lists are long
     monkeypatch.setattr(jaccard_join, "TILE", 8)
     rows = template(2, 90) + corpus(3, 12)
     want = expected(rows)
     assert len({c for _, _, c in want}) < len(rows) - 10
-    assert got(jaccard_join.jaccard_components(frame(spark, rows).repartition(4), dense=dense)) == want
+    assert got(jaccard_join.jaccard_components(frame(spark, rows).repartition(4))) == want
 
 
 def test_many_copies_and_empty_table(spark):
