@@ -14,8 +14,10 @@ EXACT_SUM_TYPE = DecimalType(30, SUM_SCALE)
 
 
 def exact_rounded_sum(df: DataFrame, col: str, digits: int = 1) -> Column:
-    """``round(sum(col), digits)`` computed exactly, returned as DOUBLE.
+    """``round(sum(col), digits)`` of amounts with at most six digits after the point, returned as DOUBLE.
 
+    One aggregate column for amounts. Doubles of any magnitude, NaN and infinities are summed by :func:`exact_sums.exact_sums`,
+    which the reports use; this column takes six digits of a value, and no NaN or infinity.
     Rounding happens before any ranking on the result, so rounding ties are
     visible to it (the earliest year wins).
     """
@@ -23,10 +25,6 @@ def exact_rounded_sum(df: DataFrame, col: str, digits: int = 1) -> Column:
     return F.round(F.sum(F.col(col).cast(EXACT_SUM_TYPE)), digits).cast("double")
 
 
-# SQL text of the same expression (``{v}`` = the value column).
-EXACT_ROUNDED_SUM_SQL = "CAST(ROUND(SUM(CAST({v} AS DECIMAL(30, 6))), {d}) AS DOUBLE)"
-
-
 def summary_stats(df: DataFrame, value: str, key: str, lo: int | None = None, hi: int | None = None) -> DataFrame:
     """One row: count of ``key``, mean, sample and population stddev of ``value``.
 

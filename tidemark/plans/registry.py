@@ -46,7 +46,7 @@ def _with(cte: str, body: str) -> str:
 @register(
     "agg_value_per_year",
     _with(star.ORACLE_STAR_CTE, f"""
-, yearly AS (SELECT series_id, year, CAST(round(sum(CAST(value AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+, yearly AS (SELECT series_id, year, CAST(round(sum(value), 1) AS DOUBLE) AS summed_value
              FROM facts WHERE period <> 'Q05' GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY summed_value DESC, year ASC) = 1 AS is_best_year
            FROM yearly)
@@ -100,7 +100,7 @@ def q_population_stats(spark, sf_dir):
 @register(
     "best_year_report",
     _with(star.ORACLE_STAR_CTE, f"""
-, yearly AS (SELECT series_id, year, CAST(round(sum(CAST(value AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+, yearly AS (SELECT series_id, year, CAST(round(sum(value), 1) AS DOUBLE) AS summed_value
              FROM facts WHERE period <> 'Q05' GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY summed_value DESC, year ASC) AS rn FROM yearly)
 SELECT r.series_id, l.sector_name, l.measure_text, l.class_text, l.duration_text, l.seasonal_text,
@@ -172,18 +172,34 @@ def q_twin_parity(spark, sf_dir):
     "grouped_rounded_sum",
     """
 SELECT l_suppkey AS series_id, CAST(year(l_shipdate) AS INTEGER) AS year,
-       CAST(round(sum(CAST(l_extendedprice AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+       round(CAST(sum(CAST(round(l_extendedprice * 100) AS HUGEINT)) AS DOUBLE) / 100, 1) AS summed_value
 FROM lineitem GROUP BY 1, 2
 """,
 )
 def q_grouped_rounded_sum(spark, sf_dir):
-    """A1: exact (DECIMAL) sum rounded to one digit per (series, year)."""
-    from tidemark.operators.aggregates import exact_rounded_sum
+    """A1: exact sum of doubles rounded to one digit per (series, year)."""
+    from tidemark.operators.exact_sums import exact_sums
 
-    li = _q(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_suppkey").alias("series_id"), F.year("l_shipdate").alias("year")).agg(
-        exact_rounded_sum(li, "l_extendedprice", 1).alias("summed_value")
-    )
+    li = _q(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("series_id"), F.year("l_shipdate").alias("year"), "l_extendedprice")
+    return exact_sums(li, ["series_id", "year"], "l_extendedprice", "summed_value", 1)
+
+
+@register(
+    "exact_double_sums",
+    """
+SELECT l_returnflag, l_linestatus, count(*) AS n, round(CAST(sum(CAST(l_extendedprice * CASE l_linenumber % 3 WHEN 0 THEN 1024 WHEN 1 THEN 1 ELSE -1.0 / 1048576 END
+       * pow(2, 66) AS HUGEINT)) AS DOUBLE) / pow(2, 66), 2) AS total
+FROM lineitem GROUP BY 1, 2
+""",
+)
+def q_exact_double_sums(spark, sf_dir):
+    """A1: exact sums of doubles whose magnitudes differ by 2**30; the oracle adds them as 128-bit integers."""
+    from tidemark.operators.exact_sums import exact_sums
+
+    keys = ["l_returnflag", "l_linestatus"]
+    factor = F.when(F.col("l_linenumber") % 3 == 0, 1024.0).when(F.col("l_linenumber") % 3 == 1, 1.0).otherwise(-1.0 / 1048576)
+    li = _q(spark, sf_dir, "lineitem").select(*keys, (F.col("l_extendedprice") * factor).alias("v"))
+    return li.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).join(exact_sums(li, keys, "v", "total", 2), keys)
 
 
 @register(
@@ -201,20 +217,18 @@ def q_exclude_annual_period(spark, sf_dir):
 @register(
     "best_year_flag",
     _with(star.ORACLE_STAR_CTE, """
-, yearly AS (SELECT series_id, year, CAST(round(sum(CAST(value AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+, yearly AS (SELECT series_id, year, CAST(round(sum(value), 1) AS DOUBLE) AS summed_value
              FROM facts WHERE period <> 'Q05' GROUP BY 1, 2)
 SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY summed_value DESC, year ASC) = 1 AS is_best_year FROM yearly
 """),
 )
 def q_best_year_flag(spark, sf_dir):
     """All rows kept, exactly one flagged per series; ties → earliest year."""
-    from tidemark.operators.aggregates import exact_rounded_sum
+    from tidemark.operators.exact_sums import exact_sums
     from tidemark.operators.ranking import flag_best
 
     facts = star.quarterly_facts(_q(spark, sf_dir, "lineitem"))
-    yearly = facts.filter(F.col("period") != "Q05").groupBy("series_id", "year").agg(
-        exact_rounded_sum(facts, "value", 1).alias("summed_value")
-    )
+    yearly = exact_sums(facts.filter(F.col("period") != "Q05"), ["series_id", "year"], "value", "summed_value", 1)
     return flag_best(yearly, ["series_id"], [F.col("summed_value").desc(), F.col("year").asc()], "is_best_year")
 
 
@@ -1259,7 +1273,7 @@ def _medallion(spark, sf_dir):
 @register(
     "medallion_agg_value_per_year",
     _with(star.ORACLE_STAR_CTE, f"""
-, yearly AS (SELECT series_id, year, CAST(round(sum(CAST(value AS DECIMAL(30,6))), 1) AS DOUBLE) AS summed_value
+, yearly AS (SELECT series_id, year, CAST(round(sum(value), 1) AS DOUBLE) AS summed_value
              FROM facts WHERE period <> 'Q05' GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY summed_value DESC, year ASC) = 1 AS is_best_year
            FROM yearly)
