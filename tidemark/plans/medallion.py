@@ -90,6 +90,11 @@ def silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
     return read_silver(VersionedTable(spark, layout.table_path("silver", name)))
 
 
+def gold_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
+    """The current version of a gold table."""
+    return VersionedTable(spark, layout.table_path("gold", name)).read()
+
+
 def _or_empty(spark: SparkSession, df: DataFrame | None, schema: str) -> DataFrame:
     return df if df is not None else spark.createDataFrame([], schema)
 
@@ -123,7 +128,7 @@ POPULATION_STATS_YEARS = (2013, 2018)
 
 
 def refresh_gold(spark: SparkSession, layout: Layout, stats_years: tuple[int, int] = POPULATION_STATS_YEARS) -> dict[str, DataFrame]:
-    """Recompute the gold tables from current silver (full refresh, overwrite)."""
+    """Recompute the gold tables from current silver; each is swapped to its new version when that is written whole."""
     inp = gold_inputs_from_silver(spark, layout)
     lo, hi = stats_years
     return {

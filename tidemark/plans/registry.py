@@ -1163,6 +1163,48 @@ def q_compact_table(spark, sf_dir):
     return table.read()
 
 
+@register("commit_race", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_commit_race(spark, sf_dir):
+    """K2: two writers start from one version; the first to publish keeps every row, the other is refused."""
+    from tidemark.sinks.tables import CommitConflict, VersionedTable
+
+    lay = _layout(spark, "commit_race")
+    table = VersionedTable(spark, f"{lay.tables}/events")
+    ev = _q(spark, sf_dir, "events")
+    start = table.commit(ev.filter("event_type = 'error'"))
+    late = table.prepare(ev.limit(0), current=start)
+    VersionedTable(spark, table.path).commit(ev, current=start)
+    try:
+        table.publish(late)
+    except CommitConflict:
+        return table.read()
+    raise AssertionError("a stale commit was accepted")
+
+
+@register(
+    "retention_outcome",
+    "SELECT version, count(*) AS rows, version < 3 AS removed, CAST(0 AS BIGINT) AS selected_again FROM events, (SELECT unnest([0, 1, 2, 3])::INTEGER AS version) GROUP BY 1",
+)
+def q_retention_outcome(spark, sf_dir):
+    """K8: old versions and an abandoned attempt are swept and recorded; a second run selects nothing."""
+    from tidemark.sinks.maintenance import abandoned_attempts, retain
+    from tidemark.sinks.tables import VersionedTable
+
+    lay = _layout(spark, "retention_outcome")
+    table = VersionedTable(spark, f"{lay.tables}/events")
+    ev = _q(spark, sf_dir, "events")
+    for _ in range(4):
+        table.commit(ev)
+    ev.write.parquet(f"{table.path}/v=4-lost")
+    retain(table, older_than_hours=0, dry_run=False)
+    again = len(retain(table, older_than_hours=0)) + len(abandoned_attempts(table, 0))
+    gone = table.commits.removed().select("version", F.lit(True).alias("removed"))
+    log = table.log().select("version", "rows").join(gone, "version", "left").withColumn("removed", F.coalesce("removed", F.lit(False)))
+    if table.read().count() != log.where("not removed").first()["rows"]:
+        raise AssertionError("the current version lost rows")
+    return log.withColumn("selected_again", F.lit(again).cast("long"))
+
+
 @register("retain_versions")
 def q_retain_versions(spark, sf_dir):
     """K8: versions retention would remove (dry run): every non-current version."""
@@ -1284,8 +1326,10 @@ FROM ranked r LEFT JOIN labels l ON r.series_id = l.series_id LEFT JOIN populati
 )
 def q_medallion_agg_value_per_year(spark, sf_dir):
     """Landing → bronze → silver (gated SCD1 over two restated snapshots) → gold, end to end."""
+    from tidemark.plans.medallion import gold_table
+
     lay = _medallion(spark, sf_dir)
-    return spark.read.parquet(lay.table_path("gold", "agg_value_per_year"))
+    return gold_table(spark, lay, "agg_value_per_year")
 
 
 @register(
@@ -1302,8 +1346,10 @@ FROM ranked r LEFT JOIN labels l ON r.series_id = l.series_id LEFT JOIN populati
 )
 def q_medallion_value_per_quarter(spark, sf_dir):
     """G3 over the refreshed silver tables."""
+    from tidemark.plans.medallion import gold_table
+
     lay = _medallion(spark, sf_dir)
-    return spark.read.parquet(lay.table_path("gold", "value_per_quarter"))
+    return gold_table(spark, lay, "value_per_quarter")
 
 
 @register(
@@ -1327,8 +1373,10 @@ def q_medallion_quarantine(spark, sf_dir):
 @register("medallion_population_stats", ORACLES["population_stats"])
 def q_medallion_population_stats(spark, sf_dir):
     """G1 over the refreshed silver population (VARIANT document → exploded → SCD1)."""
+    from tidemark.plans.medallion import gold_table
+
     lay = _medallion(spark, sf_dir)
-    out = spark.read.parquet(lay.table_path("gold", "population_stats"))
+    out = gold_table(spark, lay, "population_stats")
     return out.select("year_count", *[F.round(c, 6).alias(c) for c in out.columns if c != "year_count"])
 
 
@@ -1354,7 +1402,8 @@ def q_list_layer_tables(spark, sf_dir):
         if v is not None:
             register_table(spark, dbs[1], name, t.version_path(v))
     for name in ("agg_value_per_year", "value_per_quarter", "population_stats"):
-        register_table(spark, dbs[2], name, lay.table_path("gold", name))
+        g = VersionedTable(spark, lay.table_path("gold", name))
+        register_table(spark, dbs[2], name, g.version_path(g.current_version()))
     listed = list_layer_tables(spark, dbs).collect()
     counts = None
     for r in listed:

@@ -1,8 +1,9 @@
 """Compaction and retention of versioned tables.
 
 Compaction writes a new version with the same rows in fewer, larger files
-(optionally range-clustered on keys); retention removes versions that are
-no longer current and older than a cutoff. Both go through
+(optionally range-clustered on keys); retention marks versions that are
+no longer current and older than a cutoff, sweeps them together with folders that no log
+entry names (lost races, crashed attempts), and records what it removed. Both go through
 :class:`VersionedTable`, so readers always see a committed version, and a
 compaction that another commit has overtaken fails with ``CommitConflict``.
 """
@@ -10,11 +11,12 @@ compaction that another commit has overtaken fails with ``CommitConflict``.
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sinks.tables import VersionedTable
+from tidemark.sinks.tables import BucketedVersionedTable, VersionedTable
 
 DEFAULT_TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -46,31 +48,58 @@ def compact(table: VersionedTable, target_file_bytes: int = DEFAULT_TARGET_FILE_
     return table.commit(out, note="compact", current=version)
 
 
+def _cutoff(older_than_hours: float):
+    return F.current_timestamp() - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(older_than_hours) * 3600))
+
+
 def retention_plan(table: VersionedTable, older_than_hours: float) -> DataFrame:
-    """Versions that retention would remove: not current, committed before now - hours."""
+    """Versions that retention would remove: not current, committed before now - hours, not removed before."""
     log = table.log()
     if log is None:
         raise ValueError(f"{table.path} has no commits")
-    current = table.current_version()
-    cutoff = F.current_timestamp() - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(older_than_hours) * 3600))
-    return log.filter((F.col("version") != current) & (F.col("committed_at") < cutoff)).select(
-        "version", "committed_at", F.concat(F.lit(table.path + "/v="), F.col("version").cast("string")).alias("path")
+    old = log.filter((F.col("version") != table.current_version()) & (F.col("committed_at") < _cutoff(older_than_hours)))
+    return old.join(table.commits.removed().select("folder").distinct(), "folder", "left_anti").select(
+        "version", "committed_at", F.concat(F.lit(table.path + "/"), "folder").alias("path"), "rows", "folder", "catalog_table"
     )
 
 
+def abandoned_attempts(table: VersionedTable, older_than_hours: float) -> list[str]:
+    """Data folders that no log entry names and that were last changed before now - hours.
+
+    A writer that needs longer than that for one commit would lose its attempt, so keep the cutoff above the longest write.
+    Only folder names reach the driver.
+    """
+    spark = table.spark
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    bound = (time.time() - older_than_hours * 3600) * 1000
+    found = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith("v=") and s.getModificationTime() <= bound]
+    log = table.log()
+    if log is None or not found:
+        return sorted(found)
+    known = spark.createDataFrame([(f,) for f in found], "folder string").join(log.select("folder"), "folder", "left_anti")
+    return sorted(r["folder"] for r in known.collect())
+
+
 def retain(table: VersionedTable, older_than_hours: float = 168, dry_run: bool = True) -> list[int]:
-    """Remove old non-current versions (dry run by default). Returns the versions selected.
+    """Remove old non-current versions and abandoned attempts (dry run by default). Returns the versions selected.
 
-    Deletion goes through the Hadoop FileSystem of the table path, so it
-    works on any storage Spark can write to.
+    A version is recorded as removed after its folder is gone: a run that
+    is cut short is finished by the next, and a finished one selects nothing twice. Deletion goes through the Hadoop FileSystem of the table
+    path, so it works on any storage Spark can write to.
     """
-    plan = retention_plan(table, older_than_hours)
-    versions = sorted(int(r["version"]) for r in plan.select("version").collect())
-    if not dry_run and versions:
+    plan = retention_plan(table, older_than_hours).select("version", "folder", "catalog_table").collect()
+    if not dry_run:
         spark = table.spark
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for v in versions:
-            p = jvm.org.apache.hadoop.fs.Path(table.version_path(v))
+        doomed = [(r["version"], r["folder"], r["catalog_table"]) for r in plan]
+        doomed += [(None, folder, None) for folder in abandoned_attempts(table, older_than_hours)]
+        for version, folder, catalog_table in doomed:
+            if catalog_table:  # a bucketed version's, under its own or its attempt's name
+                for t in (f"{table.database}.{table.name}_v{version}" if isinstance(table, BucketedVersionedTable) else catalog_table, catalog_table):
+                    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": t})
+            p = jvm.org.apache.hadoop.fs.Path(f"{table.path}/{folder}")
             p.getFileSystem(conf).delete(p, True)
-    return versions
+            table.commits.record_removal(version, folder)
+    return sorted(int(r["version"]) for r in plan)

@@ -8,11 +8,12 @@ the driver or on an executor's local disk.
 * Append-only table — one sub-directory per micro-batch, ``batch=<id>``;
   a replayed batch overwrites only its own directory, so replays never
   duplicate rows, and nothing can overwrite the table as a whole.
-* Versioned table — each version is a complete snapshot in ``v=<n>``; a
-  commit log (append-only parquet) records committed versions and the
-  batch ids they consumed. The data is written first and the log row last:
-  a crash in between leaves an uncommitted directory that readers ignore
-  and the next attempt overwrites.
+* Versioned table — each version is a complete snapshot in a folder of the
+  attempt that wrote it; a commit log (:mod:`tidemark.sinks.commits`) names
+  the folder of every committed version and the batch ids it consumed. The
+  data is written first and the log entry last, and only if no other writer
+  has taken the version: a crash or a lost race leaves a folder that no
+  reader is led to and that retention sweeps.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import INGEST_TS_SUFFIX_SEP
 from tidemark.session import path_exists
+from tidemark.sinks.commits import CommitLog
 
 
 # ---------------------------------------------------------------- landing
@@ -122,8 +124,7 @@ class AppendOnlyTable:
 # ---------------------------------------------------------------- versioned snapshots
 
 # The leading underscore hides the log from any read of the table root
-# (partition discovery over v=<n>). Reading the log path itself makes Spark
-# log "All paths were ignored" for the hidden name; it reads it regardless.
+# (partition discovery over v=<...>).
 LOG_DIR = "_commits"
 
 
@@ -131,9 +132,18 @@ class CommitConflict(RuntimeError):
     """Another writer committed a version since the one that this commit was derived from."""
 
 
+@dataclass(frozen=True)
+class Attempt:
+    """Written data that is not published yet."""
+
+    version: int
+    derived: bool  # from the version before; else it may take any number
+    entry: dict
+
+
 @dataclass
 class VersionedTable:
-    """A table whose every version is a complete snapshot, committed by a log row."""
+    """A table whose every version is a complete snapshot, committed by a log entry."""
 
     spark: SparkSession
     path: str
@@ -145,23 +155,24 @@ class VersionedTable:
     def log_path(self) -> str:
         return f"{self.path}/{LOG_DIR}"
 
+    @property
+    def commits(self) -> CommitLog:
+        return CommitLog(self.spark, self.log_path)
+
     def log(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.log_path):
-            return None  # no commit yet
-        return self.spark.read.parquet(self.log_path)
+        return self.commits.frame()
 
     def state(self, batch_id: int | None = None, stream: str = "") -> tuple[int | None, bool]:
-        """(current version, whether ``stream``'s ``batch_id`` is already committed) in one aggregate.
+        """(current version, whether ``stream``'s ``batch_id`` is already committed).
 
-        Computed by the executors over the log, so its cost does not depend on
-        how many commits the log holds; one row reaches the driver.
+        The version comes from the entries' names; the replay guard is one
+        aggregate over the log, of which one row reaches the driver.
         """
-        log = self.log()
-        if log is None:
-            return None, False
-        done = (F.col("batch_id") == F.lit(-1 if batch_id is None else int(batch_id))) & (F.col("stream") == F.lit(stream))
-        r = log.agg(F.max("version").alias("v"), F.bool_or(done).alias("done")).first()
-        return (None if r["v"] is None else int(r["v"])), bool(r["done"]) and batch_id is not None
+        version = self.commits.latest()
+        if version is None or batch_id is None:
+            return version, False
+        done = (F.col("batch_id") == F.lit(int(batch_id))) & (F.col("stream") == F.lit(stream))
+        return version, bool(self.log().agg(F.bool_or(done).alias("done")).first()["done"])
 
     def current_version(self) -> int | None:
         return self.state()[0]
@@ -171,7 +182,9 @@ class VersionedTable:
         return self.state(batch_id, stream)[1]
 
     def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version}"
+        """Where a committed version lies; a version without an entry has no data of its own yet."""
+        entry = self.commits.entry(version)
+        return f"{self.path}/{entry['folder'] if entry else f'v={version}'}"
 
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
@@ -186,32 +199,54 @@ class VersionedTable:
             raise CommitConflict(f"{self.path}: derived from version {current}, but the table is at {now}")
         return now
 
+    def _write(self, df: DataFrame, folder: str, attempt: str) -> str | None:
+        """Write ``df`` to the attempt's own folder; returns the name of its catalog table, if any."""
+        df.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
+        return None
+
+    def prepare(self, df: DataFrame, batch_id: int = -1, stream: str = "", note: str = "", current: int | None = -1) -> Attempt:
+        """Write ``df``, derived from version ``current``, to a folder of its own; no reader sees it before :meth:`publish`.
+
+        The row count is observed during the write itself.
+        """
+        now = self._expected(current)
+        name = uuid.uuid4().hex
+        obs = Observation(f"commit_{name}")
+        version = 0 if now is None else now + 1
+        folder = f"v={version}-{name}"
+        table = self._write(df.observe(obs, F.count(F.lit(1)).alias("rows")), folder, name)
+        entry = {"batch_id": int(batch_id), "stream": stream, "note": note, "rows": int(obs.get.get("rows", 0)), "folder": folder, "catalog_table": table}
+        return Attempt(version, current != -1, entry)
+
+    def publish(self, attempt: Attempt) -> int:
+        """Make an attempt the next version (the commit point), or raise :class:`CommitConflict` with committed data untouched.
+
+        An attempt that was derived from no version takes the next free number instead.
+        """
+        version = attempt.version
+        while not self.commits.publish(version, attempt.entry):
+            if attempt.derived:
+                raise CommitConflict(f"{self.path}: version {version} was committed by another writer")
+            version = self.commits.latest() + 1
+        return version
+
     def commit(self, df: DataFrame, batch_id: int = -1, stream: str = "", note: str = "", current: int | None = -1) -> int:
-        """Write ``df`` as the next version, then append its log row (the commit point).
+        """Write ``df`` and publish it as the next version.
 
         ``current`` is the version ``df`` was derived from. If the table has
-        moved on since, before or during the write, nothing is logged and
-        :class:`CommitConflict` is raised. The row count is observed during the write itself.
+        moved on since, before, during or after the write, nothing is published
+        and :class:`CommitConflict` is raised. With -1, ``df`` replaces whatever version there is.
         """
-        current = self._expected(current)
-        version = 0 if current is None else current + 1
-        obs = Observation(f"commit_{uuid.uuid4().hex}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(self.version_path(version))
-        written = int(obs.get.get("rows", 0))
-        self._expected(current)
-        self.spark.createDataFrame(
-            [(version, int(batch_id), stream, note, written)],
-            "version int, batch_id long, stream string, note string, rows long",
-        ).withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.log_path)
-        return version
+        return self.publish(self.prepare(df, batch_id, stream, note, current))
 
 
 class BucketedVersionedTable(VersionedTable):
     """A :class:`VersionedTable` whose versions are bucketed and sorted on the key.
 
     Each version is also a catalog table ``<database>.<name>_v<n>`` (external,
-    at the version path) carrying the bucketing, so a join or aggregation on
-    the key reads it without an exchange (see ``cdc.scd1_merge_join``).
+    at the version's folder) carrying the bucketing, so a join or aggregation on
+    the key reads it without an exchange (see ``cdc.scd1_merge_join``). Until it
+    is published, an attempt's table has a name of its own.
     Where the catalog does not know a version (e.g. a new session on an
     in-memory catalog), it is read from its path, unbucketed.
     """
@@ -223,37 +258,39 @@ class BucketedVersionedTable(VersionedTable):
     def _table(self, version: int) -> str:
         return f"{self.database}.{self.name}_v{version}"
 
+    def publish(self, attempt: Attempt) -> int:
+        version = super().publish(attempt)
+        # Only the writer whose entry was taken comes here; if it dies now, the version is read by the attempt's name.
+        self.spark.sql(f"ALTER TABLE {attempt.entry['catalog_table']} RENAME TO {self._table(version)}")
+        return version
+
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
         if v is None:
             return None
-        if self.spark.catalog.tableExists(self._table(v)):
-            return self.spark.table(self._table(v))
+        for table in (self._table(v), (self.commits.entry(v) or {}).get("catalog_table")):
+            if table and self.spark.catalog.tableExists(table):
+                return self.spark.table(table)
         return self.spark.read.parquet(self.version_path(v))
 
-    def commit(self, df: DataFrame, batch_id: int = -1, stream: str = "", note: str = "", current: int | None = -1) -> int:
-        current = self._expected(current)
-        version = 0 if current is None else current + 1
-        obs = Observation(f"commit_{uuid.uuid4().hex}")
-        self.spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": self._table(version)})  # an uncommitted attempt
+    def _write(self, df: DataFrame, folder: str, attempt: str) -> str | None:
+        table = f"{self.database}.{self.name}_{attempt}"
         (
-            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+            df.write.mode("errorifexists")
             .bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
-            .option("path", self.version_path(version))
-            .saveAsTable(self._table(version))
+            .option("path", f"{self.path}/{folder}")
+            .saveAsTable(table)
         )
-        written = int(obs.get.get("rows", 0))
-        self._expected(current)
-        self.spark.createDataFrame(
-            [(version, int(batch_id), stream, note, written)],
-            "version int, batch_id long, stream string, note string, rows long",
-        ).withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.log_path)
-        return version
+        return table
 
 
 # ---------------------------------------------------------------- batch materialisation
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Full-recompute view: overwrite the table with ``df`` and return the stored result."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Full-recompute view: commit ``df`` as the next version of the table and return the stored result.
+
+    Readers of the version before go on undisturbed, ``df`` may be derived from it, and a failed
+    refresh leaves it current.
+    """
+    table = VersionedTable(df.sparkSession, path)
+    return table.read(table.commit(df, note="refresh"))
