@@ -1163,6 +1163,17 @@ def q_compact_table(spark, sf_dir):
     return table.read()
 
 
+@register("ingest_text_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_ingest_text_roundtrip(spark, sf_dir):
+    """Texts with tabs, quotes and line breaks land as quoted fields and are read back as they were."""
+    from tidemark.sources.quoted import read_quoted, write_quoted_snapshot
+
+    lay = _layout(spark, "ingest_text_roundtrip")
+    docs = _q(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    read = read_quoted(spark, write_quoted_snapshot(docs, lay.landing, "corpus", "documents", "20260101T000000Z"))
+    return read.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
+
+
 @register("commit_race", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_commit_race(spark, sf_dir):
     """K2: two writers start from one version; the first to publish keeps every row, the other is refused."""
