@@ -1174,6 +1174,23 @@ def q_ingest_text_roundtrip(spark, sf_dir):
     return read.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
 
 
+@register(
+    "ordered_fingerprint",
+    """
+WITH lines AS (SELECT coalesce(text, '') AS line, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
+one AS (SELECT i // 4096 AS i, sha256(string_agg(sha256(line), '' ORDER BY i)) AS h FROM lines GROUP BY 1),
+two AS (SELECT sha256(string_agg(h, '' ORDER BY i)) AS h FROM one)
+SELECT h AS content_sha256, (SELECT count(*) FROM lines) AS n_lines, (SELECT CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) FROM lines) AS bytes FROM two
+""",
+)
+def q_ordered_fingerprint(spark, sf_dir):
+    """R2: one digest of all texts in the order of their ids (two levels hold 16 million lines, as the oracle does)."""
+    from tidemark.operators.fingerprints import ordered_fingerprint
+
+    docs = _q(spark, sf_dir, "documents").orderBy("doc_id")
+    return ordered_fingerprint(docs.select("text"), "text")
+
+
 @register("commit_race", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_commit_race(spark, sf_dir):
     """K2: two writers start from one version; the first to publish keeps every row, the other is refused."""

@@ -91,24 +91,15 @@ def last_known_state(manifest: DataFrame, source: str) -> DataFrame:
 def snapshot_fingerprint(snapshot: DataFrame, sep: str = "\t") -> DataFrame:
     """One row (content_sha256, bytes) for a delimited snapshot, computed in tasks.
 
-    The fingerprint covers the header and the multiset of data lines (sum of
-    64-bit line hashes and line count, combined map-side), so no snapshot is
-    ever gathered into one task and row order does not matter.
+    The fingerprint covers the header and the data lines in their order, as a tree of digests
+    (:func:`ordered_fingerprint`), so no snapshot is ever gathered into one task and reordered lines differ.
     """
+    from tidemark.operators.fingerprints import ordered_fingerprint
     from tidemark.sinks.tables import snapshot_lines
 
-    line = snapshot_lines(snapshot, sep)
     header = sep.join(snapshot.columns)
-    agg = snapshot.select(line.alias("line")).agg(
-        F.sum(F.xxhash64("line").cast("decimal(38,0)")).alias("h"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length("line") + 1).alias("bytes"),
-    )
-    return agg.select(
-        F.sha2(F.concat_ws(":", F.lit(header), F.coalesce(F.col("h"), F.lit(0)).cast("string"), F.col("n").cast("string")), 256)
-        .alias("content_sha256"),
-        (F.coalesce(F.col("bytes"), F.lit(0)) + F.lit(len(header.encode("utf-8")) + 1)).cast("long").alias("bytes"),
-    )
+    found = ordered_fingerprint(snapshot.select(snapshot_lines(snapshot, sep).alias("line")), head=header)
+    return found.select("content_sha256", (F.col("bytes") + F.lit(len(header.encode("utf-8")) + 1)).alias("bytes"))
 
 
 ROW_SCHEMA = (
