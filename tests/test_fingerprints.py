@@ -5,7 +5,8 @@ import os
 
 from tidemark.operators import fingerprints
 from tidemark.operators.fingerprints import file_digests, ordered_fingerprint
-from tidemark.sinks.manifest import snapshot_fingerprint
+from tidemark.sinks.manifest import record_run, snapshot_fingerprint
+from tidemark.sinks.tables import AppendOnlyTable
 
 
 def sha(text):
@@ -41,11 +42,16 @@ def test_no_lines_and_one_line(spark):
     assert tuple(ordered_fingerprint(spark.createDataFrame([("x",)], "line string")).first()) == (by_hand(["x"], 4096), 1, 2)
 
 
-def test_snapshots_with_reordered_lines_or_other_header_differ(spark):
+def test_snapshots_with_reordered_lines_or_other_header_differ(spark, scratch):
     rows = [(k, f"v{k}") for k in range(20)]
-    prints = [snapshot_fingerprint(spark.createDataFrame(r, s)).first() for r, s in (
-        (rows, "a int, b string"), (rows, "a int, b string"), (rows[::-1], "a int, b string"), (rows, "a int, c string"))]
+    frames = [spark.createDataFrame(r, s) for r, s in ((rows, "a int, b string"), (rows, "a int, b string"), (rows[::-1], "a int, b string"), (rows, "a int, c string"))]
+    prints = [snapshot_fingerprint(f, ordered=True).first() for f in frames]
     assert prints[0] == prints[1] and len({p.content_sha256 for p in prints}) == 3
+    assert len({p.bytes for p in prints}) == 1 == len({snapshot_fingerprint(f).first() for f in frames[:3]})
+    ledger = AppendOnlyTable(spark, f"{scratch}/ledger")
+    for seq, frame in enumerate(frames[:3], 1):
+        record_run(spark, [("d", frame)], f"{scratch}/landing", "s", f"2026010{seq}T000000Z", ledger, seq, ordered=True)
+    assert [r.status for r in ledger.read().orderBy("ingest_ts").collect()] == ["FETCHED", "UNCHANGED", "FETCHED"]
 
 
 def test_plain_digest_of_every_file(spark, scratch):

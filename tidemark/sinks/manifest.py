@@ -88,18 +88,33 @@ def last_known_state(manifest: DataFrame, source: str) -> DataFrame:
     )
 
 
-def snapshot_fingerprint(snapshot: DataFrame, sep: str = "\t") -> DataFrame:
+def snapshot_fingerprint(snapshot: DataFrame, sep: str = "\t", ordered: bool = False) -> DataFrame:
     """One row (content_sha256, bytes) for a delimited snapshot, computed in tasks.
 
-    The fingerprint covers the header and the data lines in their order, as a tree of digests
-    (:func:`ordered_fingerprint`), so no snapshot is ever gathered into one task and reordered lines differ.
+    The fingerprint covers the header and the data lines, and no snapshot is ever gathered into one task. By default
+    it is one of the rows as a multiset (sum of 64-bit line hashes and line count, combined map-side): a DataFrame has no row order of its own,
+    so equal rows in another order are the same content. With ``ordered`` it is a tree of digests over the lines in
+    their order (:func:`ordered_fingerprint`): reordered lines differ, as they do in the bytes of a file.
     """
     from tidemark.operators.fingerprints import ordered_fingerprint
     from tidemark.sinks.tables import snapshot_lines
 
+    line = snapshot_lines(snapshot, sep)
     header = sep.join(snapshot.columns)
-    found = ordered_fingerprint(snapshot.select(snapshot_lines(snapshot, sep).alias("line")), head=header)
-    return found.select("content_sha256", (F.col("bytes") + F.lit(len(header.encode("utf-8")) + 1)).alias("bytes"))
+    header_bytes = F.lit(len(header.encode("utf-8")) + 1)
+    if ordered:
+        found = ordered_fingerprint(snapshot.select(line.alias("line")), head=header)
+        return found.select("content_sha256", (F.col("bytes") + header_bytes).alias("bytes"))
+    agg = snapshot.select(line.alias("line")).agg(
+        F.sum(F.xxhash64("line").cast("decimal(38,0)")).alias("h"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length("line") + 1).alias("bytes"),
+    )
+    return agg.select(
+        F.sha2(F.concat_ws(":", F.lit(header), F.coalesce(F.col("h"), F.lit(0)).cast("string"), F.col("n").cast("string")), 256)
+        .alias("content_sha256"),
+        (F.coalesce(F.col("bytes"), F.lit(0)) + header_bytes).cast("long").alias("bytes"),
+    )
 
 
 ROW_SCHEMA = (
@@ -118,6 +133,7 @@ def land_item(
     known_sha: str | None,
     run_id: str = "local",
     source_url: str | None = None,
+    ordered: bool = False,
 ) -> tuple:
     """Fingerprint one snapshot and land it unless unchanged; returns its ledger row (a tuple).
 
@@ -126,7 +142,7 @@ def land_item(
     """
     from tidemark.sinks.tables import write_landing_snapshot
 
-    fp = snapshot_fingerprint(snapshot).first()
+    fp = snapshot_fingerprint(snapshot, ordered=ordered).first()
     unchanged = known_sha is not None and known_sha == fp["content_sha256"]
     path = None if unchanged else write_landing_snapshot(snapshot, landing_base, source, dataset, stamp)
     return (source, dataset, stamp, UNCHANGED if unchanged else FETCHED, 200, fp["content_sha256"], None,
@@ -151,6 +167,7 @@ def record_run(
     run_id: str = "local",
     listing_error: str | None = None,
     after_landing=None,
+    ordered: bool = False,
 ) -> DataFrame:
     """One fetch run: land every item, then append the run's ledger rows (data first, audit rows last).
 
@@ -159,7 +176,7 @@ def record_run(
     never stops the others. ``listing_error`` records a failed listing as
     one ERROR row for ``_directory_listing``. ``after_landing`` is called
     after all landings and before the ledger append (tests inject failures
-    there). Returns the run summary: had_error, n and counts per status.
+    there). ``ordered`` makes the order of a snapshot's lines part of its content (see :func:`snapshot_fingerprint`). Returns the run summary: had_error, n and counts per status.
     """
     from tidemark.operators.aggregates import run_summary
 
@@ -174,7 +191,7 @@ def record_run(
             rows.append(error_row(source, dataset, stamp, str(item), run_id=run_id))
             continue
         try:
-            rows.append(land_item(spark, item, landing_base, source, dataset, stamp, known.get(dataset), run_id))
+            rows.append(land_item(spark, item, landing_base, source, dataset, stamp, known.get(dataset), run_id, ordered=ordered))
         except Exception as exc:  # noqa: BLE001 - per-item isolation: record and continue
             rows.append(error_row(source, dataset, stamp, f"{type(exc).__name__}: {exc}", run_id=run_id))
     if after_landing is not None:
