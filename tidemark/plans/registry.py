@@ -1191,6 +1191,25 @@ def q_ordered_fingerprint(spark, sf_dir):
     return ordered_fingerprint(docs.select("text"), "text")
 
 
+@register(
+    "changed_rows",
+    """
+SELECT side, event_id, value FROM (
+  SELECT 'before' AS side, event_id, value FROM events WHERE event_id % 1000 = 7 AND value IS NOT NULL
+  UNION ALL SELECT 'after', event_id, value + 1 FROM events WHERE event_id % 1000 = 7 AND value IS NOT NULL) x
+""",
+)
+def q_changed_rows(spark, sf_dir):
+    """Two copies of the events, one with changed values: only rows of buckets whose fingerprints differ are compared."""
+    from tidemark.operators.parity import multiset_difference
+
+    before = _q(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    after = before.withColumn("value", F.when(F.col("event_id") % 1000 == 7, F.col("value") + 1).otherwise(F.col("value")))
+    lost, new = multiset_difference(before, after)
+    rows = lost.withColumn("side", F.lit("before")).unionByName(new.withColumn("side", F.lit("after")))
+    return rows.select("side", "event_id", "value")
+
+
 @register("commit_race", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_commit_race(spark, sf_dir):
     """K2: two writers start from one version; the first to publish keeps every row, the other is refused."""
