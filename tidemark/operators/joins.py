@@ -23,18 +23,27 @@ from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_root
 
-# A side above this many rows is never hinted for broadcast.
+# A side above this many rows or bytes is never hinted for broadcast.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def rows_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows (one distributed count)."""
-    return df.count() <= bound
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes that a row takes in memory, about: 16 for each column and the length of what is not of fixed size."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0))
+    return size
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when a count proves it small, else ``df`` unchanged."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when a count of its rows and bytes proves it small, else ``df`` unchanged."""
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
+    return F.broadcast(df) if r["rows"] <= max_rows and (r["bytes"] or 0) <= max_bytes else df
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> DataFrame:
@@ -49,7 +58,8 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "dimension") -> Da
     return df
 
 
-def checked_dimension(df: DataFrame, keys: list[str] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS, what: str = "dimension") -> DataFrame:
+def checked_dimension(df: DataFrame, keys: list[str] | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS, what: str = "dimension",
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Materialise a dimension once, prove its size (and key uniqueness), hint broadcast only below the bound.
 
     For dimensions derived by joins or aggregates Spark has no usable static
@@ -58,21 +68,21 @@ def checked_dimension(df: DataFrame, keys: list[str] | None = None, max_rows: in
     run. The dimension is written once with ``checkpoint()`` into the shared
     checkpoint folder (one job; lineage cut, survives executor loss); the
     check then reads the materialised rows: with ``keys`` one aggregation
-    gives row count and the largest key multiplicity (a repeated key raises,
-    as the join would fan out fact rows), without keys a count. Above
-    ``max_rows`` the side is returned unhinted and the join stays a shuffle
+    gives rows, bytes and the largest key multiplicity (a repeated key raises,
+    as the join would fan out fact rows), without keys rows and bytes. Above
+    ``max_rows`` or ``max_bytes`` the side is returned unhinted and the join stays a shuffle
     join. Callers (SQL views or DataFrames) reuse the checkpointed rows.
     """
     checkpoint_root(df.sparkSession)
     stored = df.checkpoint(eager=True)
+    count, size = F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(stored)).alias("bytes")
     if keys:
-        r = stored.groupBy(*keys).count().agg(F.sum("count").alias("rows"), F.max("count").alias("dup")).first()
+        r = stored.groupBy(*keys).agg(count, size).agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.max("rows").alias("dup")).first()
         if (r["dup"] or 0) > 1:
             raise ValueError(f"{what} key {keys} is not unique (a key occurs {r['dup']} times)")
-        rows = r["rows"] or 0
     else:
-        rows = stored.count()
-    return F.broadcast(stored) if rows <= max_rows else stored
+        r = stored.agg(count, size).first()
+    return F.broadcast(stored) if (r["rows"] or 0) <= max_rows and (r["bytes"] or 0) <= max_bytes else stored
 
 
 def prepare_side(df: DataFrame, policy: str = "auto", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
