@@ -16,7 +16,7 @@ from tidemark.plans import gold
 from tidemark.plans.series_specs import BRONZE_SOURCES, SILVER_FROM_BRONZE, silver_specs
 from tidemark.session import path_exists, scratch_path
 from tidemark.sinks.tables import VersionedTable, materialize
-from tidemark.streaming.bronze import Layout, SourceSpec, await_query, start_bronze
+from tidemark.streaming.bronze import Layout, SourceSpec, await_all, start_bronze
 from tidemark.streaming.silver import read_silver, start_silver
 
 # The two landing sources of the product.
@@ -70,8 +70,7 @@ def refresh_all_bronze(spark: SparkSession, layout: Layout, specs: list[SourceSp
         lay = layout_for(layout, spec)
         if (only is None or spec.table in only) and path_exists(spark, lay.landing_dir(spec)):
             started.append(start_bronze(spark, spec, lay)[0])
-    for q in started:
-        await_query(q)
+    await_all(started)
 
 
 def refresh_all_silver(spark: SparkSession, layout: Layout, max_year: int | None = None, only: set[str] | None = None) -> dict[str, VersionedTable]:
@@ -81,8 +80,7 @@ def refresh_all_silver(spark: SparkSession, layout: Layout, max_year: int | None
         bronze = SILVER_FROM_BRONZE[name]
         if (only is None or name in only) and path_exists(spark, layout.table_path("bronze", bronze)):
             started[name] = start_silver(spark, spec, layout, bronze)
-    for q, _ in started.values():
-        await_query(q)
+    await_all([q for q, _ in started.values()])
     return {name: table for name, (_, table) in started.items()}
 
 

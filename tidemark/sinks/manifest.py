@@ -26,6 +26,7 @@ FETCHED, UNCHANGED, ERROR = "FETCHED", "UNCHANGED", "ERROR"
 # The dataset name recorded when a listing (not an item) fails.
 LISTING_DATASET = "_directory_listing"
 
+# The ledger's columns and types, in order.
 MANIFEST_COLUMNS = (
     ("source", "string"),
     ("dataset", "string"),

@@ -148,6 +148,17 @@ def await_query(q, timeout_s: int | None = DEFAULT_TIMEOUT_S) -> None:
         raise RuntimeError(f"{q.name}: {q.exception()}")
 
 
+def await_all(queries: list, timeout_s: int | None = DEFAULT_TIMEOUT_S) -> None:
+    """Wait for queries that run side by side; when one fails the others are stopped, not left running."""
+    try:
+        for q in queries:
+            await_query(q, timeout_s)
+    finally:
+        for q in queries:
+            if q.isActive:  # another one failed
+                q.stop()
+
+
 def refresh_bronze(
     spark: SparkSession,
     spec: SourceSpec,
@@ -166,11 +177,5 @@ def refresh_registry(
 ) -> dict[str, AppendOnlyTable]:
     """Refresh one bronze table per spec, all streams running concurrently (own checkpoint each)."""
     started = [(spec, *start_bronze(spark, spec, layout)) for spec in specs]
-    try:
-        for _, q, _ in started:
-            await_query(q, timeout_s)
-    finally:
-        for _, q, _ in started:
-            if q.isActive:  # another one failed
-                q.stop()
+    await_all([q for _, q, _ in started], timeout_s)
     return {spec.table: table for spec, _, table in started}
