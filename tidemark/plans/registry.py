@@ -1518,3 +1518,20 @@ def q_scd1_bucketed_merge(spark, sf_dir):
         batch = ev.filter(F.col("event_type") == etype)
         table.commit(scd1_merge_join(table.read(), batch, ["user_id"], seq, payload), batch_id=i, stream="replay")
     return publish(table.read(), seq)
+
+
+@register("scd1_pruned_merge", LATEST_EVENT_PER_USER)
+def q_scd1_pruned_merge(spark, sf_dir):
+    """C1/C4 with a file index: each merge rewrites only the files that may hold a changed key; same batches, order and replay as ``scd1_replay``."""
+    from tidemark.operators.cdc import publish
+    from tidemark.sinks.keyed import KeyedTable
+
+    lay = _layout(spark, "scd1_pruned_merge")
+    table = KeyedTable(spark, f"{lay.tables}/latest_event", ["user_id"])
+    ev = _q(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    seq, payload = ["ts", "event_id"], ["event_type", "value"]
+    known = {r[0] for r in ev.select("event_type").distinct().collect()}
+    types = [*REPLAY_ORDER, *sorted(known - set(REPLAY_ORDER))]
+    for i, etype in enumerate(types + types[::-1]):
+        table.upsert(ev.filter(F.col("event_type") == etype), seq, payload, batch_id=i, stream="replay")
+    return publish(table.read(), seq)
