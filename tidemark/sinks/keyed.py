@@ -146,7 +146,7 @@ class KeyedTable(VersionedTable):
         cells = self.spark.read.schema(_CELLS).parquet(*[f"{self.path}/{f}/cells" for f in folders]).join(files, _AT, "left_semi")
         blocks = self.spark.read.schema(_BLOCKS).parquet(*[f"{self.path}/{f}/blocks" for f in folders])
         used = sorted(tuple(r) for r in cells.select("ord_level", "hash_level").distinct().collect())  # fewer than 130
-        levels = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in used])
+        levels = F.expr("array(" + ", ".join(f"struct({a} as a, {b} as b)" for a, b in used) + ")")
         shifts = (f"transform(levels, l -> struct(l.a as ord_level, shiftright(__ord, l.a) as ord_cell, l.b as hash_level, "
                   f"if(l.b = {ANY}, 0L, shiftright(__hash, l.b)) as hash_cell))")
         keys = self._place(changes.select(*[f"`{k}`" for k in self.keys]), layout).withColumn("levels", levels).select(

@@ -23,10 +23,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.text import INGEST_TS_SUFFIX_SEP
 from tidemark.session import path_exists
 from tidemark.sinks.commits import CommitLog
+from tidemark.sinks.schema_log import SchemaLog
 
 
 # ---------------------------------------------------------------- landing
@@ -100,13 +102,15 @@ def write_landing_text(df: DataFrame, base: str, source: str, dataset: str, stam
 # ---------------------------------------------------------------- append-only
 
 class AppendOnlyTable:
-    """Parquet table that only ever grows by whole micro-batches."""
+    """Parquet table that only ever grows by whole micro-batches; its schema is recorded beside them."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.schemas = SchemaLog(spark, self.path)
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        self.schemas.cover(df.schema)
         # Overwrite is scoped to this batch's own directory: a replay of the
         # same batch id replaces its earlier attempt instead of adding rows.
         df.write.mode("overwrite").parquet(f"{self.path}/batch={int(batch_id)}")
@@ -114,8 +118,17 @@ class AppendOnlyTable:
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
+    def schema(self) -> StructType:
+        """The recorded schema; of a table written without a record, all footers merged."""
+        recorded = self.schemas.schema()
+        return recorded if recorded is not None else self.spark.read.option("mergeSchema", True).parquet(self.path).schema
+
     def read(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", True).parquet(self.path)
+        return self.spark.read.schema(self.schema()).parquet(self.path)
+
+    def read_files(self, paths: list[str]) -> DataFrame:
+        """Some files of the table by its newest schema."""
+        return self.spark.read.schema(self.schema()).option("basePath", self.path).parquet(*paths)
 
     def overwrite(self, *_args, **_kwargs):
         raise PermissionError(f"{self.path} is append-only")

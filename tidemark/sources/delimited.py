@@ -75,7 +75,10 @@ def map_lines_to_headers(positioned: DataFrame, headers: DataFrame, sep: str = "
     of files in the batch, which the caller bounds).
     """
     # A field is named by the first header that has its name; fields under blank and repeated names are rescued.
-    named = F.transform("__header", lambda h, i: h.rlike(r"\S") & (F.array_position("__header", h) == i + 1))
+    # Spellings that the session takes for one column are one name.
+    fold = (lambda h: h) if case_sensitive(positioned.sparkSession) else F.lower
+    folded = F.transform("__header", fold)
+    named = F.transform("__header", lambda h, i: h.rlike(r"\S") & (F.array_position(folded, fold(h)) == i + 1))
     joined = positioned.join(F.broadcast(headers.withColumn("__named", named)), "__path", "inner").filter(
         (F.col("__pos") != F.col("__header_pos")) & (F.col("__line") != "")
     )
@@ -95,14 +98,21 @@ def map_lines_to_headers(positioned: DataFrame, headers: DataFrame, sep: str = "
     )
 
 
-def header_union(header_rows: list, existing: list[str] | None = None) -> list[str]:
-    """Ordered union of column names: existing table columns first, then new ones
+def case_sensitive(spark) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+
+
+def header_union(header_rows: list, existing: list[str] | None = None, sensitive: bool = True) -> dict[str, list[str]]:
+    """Ordered union of column names with the spellings each has: existing table columns first, then new ones
     in first-seen order (additive evolution). Blank names get no column: their values are rescued."""
-    names = list(existing or [])
+    names = {n: [n] for n in existing or []}
+    first = {n if sensitive else n.lower(): n for n in names}
     for header in sorted({tuple(r["__header"]) for r in header_rows}):
         for n in header:
-            if n not in names and n.strip() != "":
-                names.append(n)
+            if n.strip() != "":
+                spellings = names.setdefault(first.setdefault(n if sensitive else n.lower(), n), [])
+                if n not in spellings:
+                    spellings.append(n)
     return names
 
 
@@ -117,11 +127,11 @@ def read_delimited_lines(lines: DataFrame, sep: str = "\t", existing_columns: li
     """
     positioned = lines_with_position(lines)
     header_rows = file_headers(positioned, sep).collect()
-    names = header_union(header_rows, existing_columns)
+    names = header_union(header_rows, existing_columns, case_sensitive(lines.sparkSession))
     headers = lines.sparkSession.createDataFrame(header_rows, HEADER_SCHEMA)
     mapped = map_lines_to_headers(positioned, headers, sep)
     return mapped.select(
-        *[F.col("__fields")[n].alias(n) for n in names],
+        *[F.coalesce(*[F.col("__fields")[s] for s in spellings]).alias(n) for n, spellings in names.items()],
         RESCUED,
         F.col("__path").alias(SOURCE_FILE),
         ingest_ts_from_path(F.col("__path")).alias(INGEST_TS),

@@ -22,7 +22,7 @@ from tidemark.functions.text import ingest_ts_from_path
 from tidemark.operators.quality import Rule, expect
 from tidemark.session import path_exists
 from tidemark.sinks.tables import AppendOnlyTable
-from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE, read_delimited_lines
+from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, RESCUED, SOURCE_FILE, read_delimited_lines
 
 DEFAULT_TIMEOUT_S = None  # a triggered query runs until it has drained its source
 # Files per micro-batch: bounds the per-file header table each batch collects
@@ -95,7 +95,9 @@ def _bronze_batch(spec: SourceSpec, table: AppendOnlyTable, expectations: Append
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if spec.fmt == "delimited":
-            out = read_delimited_lines(batch, spec.sep)
+            known = table.schemas.schema()
+            existing = [n for n in known.names if n not in (RESCUED, SOURCE_FILE, INGEST_TS, INGESTED_AT)] if known else None
+            out = read_delimited_lines(batch, spec.sep, existing)
         else:
             out = batch.withColumn(INGEST_TS, ingest_ts_from_path(F.col(SOURCE_FILE)))
         # The rule counts ride along with the write (no second pass over the batch).

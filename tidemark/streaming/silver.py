@@ -28,11 +28,13 @@ from tidemark.functions.cleaning import TableSpec, project_spec
 from tidemark.functions.variant import variant_array, variant_field
 from tidemark.operators.cdc import latest_per_key, publish, scd1_merge, scd1_merge_join
 from tidemark.operators.quality import FAILED_RULES, failed_rules, quarantine
+from tidemark.sinks.keyed import KeyedTable
 from tidemark.sinks.tables import AppendOnlyTable, BucketedVersionedTable, VersionedTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE
 from tidemark.streaming.bronze import DEFAULT_TIMEOUT_S, Layout, await_query
 
 SEQUENCE = [INGEST_TS, INGESTED_AT]
+BRONZE_FILE = "_bronze_file"
 
 
 def typed_batch(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -66,13 +68,32 @@ def _run(q, name: str, timeout_s: int) -> None:
 
 
 def _bronze_stream(spark: SparkSession, bronze_path: str, max_files: int | None) -> DataFrame:
-    schema = spark.read.option("mergeSchema", True).parquet(bronze_path).schema
-    reader = spark.readStream.schema(schema).option("mergeSchema", True)
+    """The bronze table as a stream by its recorded schema: no footer of an old batch is opened."""
+    reader = spark.readStream.schema(AppendOnlyTable(spark, bronze_path).schema())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(bronze_path)
 
 
+def with_new_columns(batch: DataFrame, bronze: AppendOnlyTable) -> DataFrame:
+    """A micro-batch (with ``_bronze_file``) by the newest schema: a stream keeps the one it started with, so where columns
+    have come since, the batch's files are read again. Their paths reach the driver, as in the listing that found them."""
+    if set(bronze.schema().names) <= set(batch.columns):
+        return batch.drop(BRONZE_FILE)
+    files = [r[0] for r in batch.select(BRONZE_FILE).distinct().collect()]
+    return bronze.read_files(files) if files else batch.drop(BRONZE_FILE)
+
+
+def _merge(target: VersionedTable, rows: DataFrame, keys: list[str], sequence: list[str], payload: list[str], batch_id: int, stream: str, current: int | None) -> None:
+    """Upsert ``rows`` into the target by the way it is stored and commit."""
+    if isinstance(target, KeyedTable):
+        target.upsert(rows, sequence, payload, batch_id, stream, current)
+        return
+    merge = scd1_merge_join if isinstance(target, BucketedVersionedTable) else scd1_merge
+    state = merge(target.read(current) if current is not None else None, rows, keys, sequence, payload)
+    target.commit(state, batch_id, stream, current=current)
+
+
 def start_silver(
     spark: SparkSession,
     spec: TableSpec,
@@ -80,21 +101,26 @@ def start_silver(
     bronze_table: str,
     max_files_per_trigger: int | None = None,
     bucketed: tuple[str, int] | None = None,
+    rows_per_file: int | None = None,
+    trigger: dict | None = None,
 ):
     """Start the triggered upsert of one silver table; returns (query, table).
 
     ``bucketed=(database, buckets)`` keeps the state bucketed on the key and
-    merges with a join that shuffles only the batch (``scd1_merge_join``).
+    merges with a join that shuffles only the batch (``scd1_merge_join``);
+    ``rows_per_file`` keeps it as a :class:`KeyedTable`, of which a batch rewrites only the files it touches.
+    ``trigger`` is ``availableNow`` unless given.
     """
-    if bucketed is None:
+    if rows_per_file is not None:
+        target = KeyedTable(spark, layout.table_path("silver", spec.name), list(spec.keys), rows_per_file)
+    elif bucketed is None:
         target = VersionedTable(spark, layout.table_path("silver", spec.name))
-        merge = scd1_merge
     else:
         database, buckets = bucketed
         target = BucketedVersionedTable(
             spark, layout.table_path("silver", spec.name), database, spec.name, list(spec.keys), buckets
         )
-        merge = scd1_merge_join
+    bronze = AppendOnlyTable(spark, layout.table_path("bronze", bronze_table))
     rejected_table = AppendOnlyTable(spark, layout.table_path("quarantine", spec.name))
     stream_name = f"silver_{spec.name}"
     keys, payload = list(spec.keys), payload_columns(spec)
@@ -106,21 +132,21 @@ def start_silver(
         # The typed batch feeds two writes (quarantine, merge): persist it for
         # the duration of the batch so bronze is read and parsed once. Lost
         # cached blocks are recomputed from the batch's files.
-        flagged = typed_batch(batch, spec).withColumn(FAILED_RULES, failed_rules(list(spec.rules)))
+        flagged = typed_batch(with_new_columns(batch, bronze), spec).withColumn(FAILED_RULES, failed_rules(list(spec.rules)))
         flagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rejected_table.write_batch(flagged.filter(F.size(FAILED_RULES) > 0), batch_id)
             clean = flagged.filter(F.size(FAILED_RULES) == 0).drop(FAILED_RULES, SOURCE_FILE)
-            state = merge(target.read(current) if current is not None else None, clean, keys, SEQUENCE, payload)
-            target.commit(state, batch_id, stream_name, current=current)
+            _merge(target, clean, keys, SEQUENCE, payload, batch_id, stream_name, current)
         finally:
             flagged.unpersist()
 
     q = (
-        _bronze_stream(spark, layout.table_path("bronze", bronze_table), max_files_per_trigger)
+        _bronze_stream(spark, bronze.path, max_files_per_trigger)
+        .withColumn(BRONZE_FILE, F.col("_metadata.file_path"))
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", layout.checkpoint("silver", spec.name))
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .queryName(stream_name)
         .start()
     )
@@ -135,9 +161,10 @@ def refresh_silver(
     timeout_s: int = DEFAULT_TIMEOUT_S,
     max_files_per_trigger: int | None = None,
     bucketed: tuple[str, int] | None = None,
+    rows_per_file: int | None = None,
 ) -> VersionedTable:
     """Bring the silver SCD1 table up to date with everything in bronze."""
-    q, target = start_silver(spark, spec, layout, bronze_table, max_files_per_trigger, bucketed)
+    q, target = start_silver(spark, spec, layout, bronze_table, max_files_per_trigger, bucketed, rows_per_file)
     _run(q, q.name, timeout_s)
     return target
 
@@ -213,8 +240,7 @@ def upsert_stream(
         current, done = target.state(batch_id, name)
         if done:
             return
-        prev = target.read(current) if current is not None else None
-        target.commit(scd1_merge(prev, batch, keys, sequence, payload), batch_id, name, current=current)
+        _merge(target, batch, keys, sequence, payload, batch_id, name, current)
 
     writer = source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if stateful:
