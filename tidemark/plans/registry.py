@@ -1427,7 +1427,29 @@ def q_medallion_population_stats(spark, sf_dir):
     return out.select("year_count", *[F.round(c, 6).alias(c) for c in out.columns if c != "year_count"])
 
 
-@register("list_layer_tables")
+# Rows of every table of the end-to-end run, by layer.
+ORACLE_LAYERS = _with(star.ORACLE_STAR_CTE, """
+, best AS (SELECT count(*) AS years FROM (SELECT DISTINCT series_id, year FROM facts WHERE period <> 'Q05') y),
+layers AS (
+  SELECT 'bronze' AS layer, 'pr_data_1_alldata' AS "table", 2 * (SELECT count(*) FROM facts) + 3 * (SELECT count(*) FROM supplier) AS n_rows
+  UNION ALL SELECT 'bronze', 'pr_series', count(*) FROM supplier
+  UNION ALL SELECT 'bronze', 'pr_sector', count(*) FROM region
+  UNION ALL SELECT 'bronze', 'pr_measure', count(*) FROM nation
+  UNION ALL SELECT 'bronze', 'pr_duration', count(*) FROM supplier WHERE s_acctbal > 0
+  UNION ALL SELECT 'bronze', 'population', 1
+  UNION ALL SELECT 'silver', 'pr_data', count(*) FROM facts
+  UNION ALL SELECT 'silver', 'pr_series', count(*) FROM supplier
+  UNION ALL SELECT 'silver', 'pr_sector', count(*) FROM region
+  UNION ALL SELECT 'silver', 'pr_measure', count(*) FROM nation
+  UNION ALL SELECT 'silver', 'pr_duration', count(*) FROM supplier WHERE s_acctbal > 0
+  UNION ALL SELECT 'silver', 'population', count(*) FROM population
+  UNION ALL SELECT 'gold', 'agg_value_per_year', years FROM best
+  UNION ALL SELECT 'gold', 'value_per_quarter', count(*) FROM facts WHERE period <> 'Q05'
+  UNION ALL SELECT 'gold', 'population_stats', 1)
+""")
+
+
+@register("list_layer_tables", ORACLE_LAYERS + "SELECT * FROM layers")
 def q_list_layer_tables(spark, sf_dir):
     """Layer databases bootstrapped idempotently; tables listed (temporary views skipped) with row counts."""
     import uuid
@@ -1461,6 +1483,30 @@ def q_list_layer_tables(spark, sf_dir):
     return counts
 
 
+@register(
+    "maintain_layers",
+    ORACLE_LAYERS + f"""
+SELECT layer, "table" AS table_name, n_rows, TRUE AS packed FROM layers
+UNION ALL SELECT 'quarantine', 'pr_data', 3 * count(*), TRUE FROM supplier
+UNION ALL SELECT 'quarantine', t, 0, TRUE FROM (SELECT unnest(['pr_series', 'pr_sector', 'pr_measure', 'pr_duration', 'population']) AS t) q
+UNION ALL SELECT 'ledger', 'source_manifest', count(*), TRUE FROM ({ORACLE_MANIFEST.strip()}) m
+""",
+)
+def q_maintain_layers(spark, sf_dir):
+    """K7: small files of every layer packed and swapped; rows as they were, files at most twice what the target size asks for."""
+    from tidemark.sinks.manifest import append_manifest
+    from tidemark.sinks.packing import maintain_layers
+    from tidemark.sinks.tables import AppendOnlyTable
+
+    lay = _medallion(spark, sf_dir)
+    ledger = AppendOnlyTable(spark, f"{lay.tables}/source_manifest")
+    for seq, run in enumerate(manifest_outcomes(spark, sf_dir), 1):
+        append_manifest(ledger, run, seq)
+    target = 32 * 1024 * 1024
+    done = maintain_layers(spark, lay.tables, target, layers=("bronze", "quarantine", "silver", "gold", "ledger"))
+    return done.select("layer", "table_name", "n_rows", (F.col("files_after") <= 1 + 2 * F.floor(F.col("bytes") / target)).alias("packed"))
+
+
 @register(
     "medallion_expectations",
     _with(star.ORACLE_STAR_CTE, """

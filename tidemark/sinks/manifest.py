@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import path_exists
 from tidemark.sinks.tables import AppendOnlyTable
 
 # Item statuses of a fetch run.
@@ -68,9 +67,9 @@ def append_manifest(table: AppendOnlyTable, rows: DataFrame, run_seq: int) -> No
 
     A sequence number that already holds another run's rows is refused: the ledger only grows.
     """
-    earlier = f"{table.path}/batch={int(run_seq)}"
-    if path_exists(table.spark, earlier):
-        stored = table.spark.read.parquet(earlier).select("run_id").distinct()
+    earlier = table.read_batch(run_seq)
+    if earlier is not None:
+        stored = earlier.select("run_id").distinct()
         if not stored.exceptAll(rows.select(F.col("run_id").cast("string")).distinct()).isEmpty():
             raise ValueError(f"run sequence {run_seq} of {table.path} belongs to another run")
     table.write_batch(manifest_rows(rows), run_seq)

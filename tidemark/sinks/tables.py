@@ -7,7 +7,8 @@ the driver or on an executor's local disk.
   ``<base>/<source>/<dataset>/<file>__<stamp>``, never overwritten.
 * Append-only table — one sub-directory per micro-batch, ``batch=<id>``;
   a replayed batch overwrites only its own directory, so replays never
-  duplicate rows, and nothing can overwrite the table as a whole.
+  duplicate rows, and nothing can overwrite the table as a whole. Small
+  batches may be packed (:mod:`tidemark.sinks.packing`).
 * Versioned table — each version is a complete snapshot in a folder of the
   attempt that wrote it; a commit log (:mod:`tidemark.sinks.commits`) names
   the folder of every committed version and the batch ids it consumed. The
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.functions.text import INGEST_TS_SUFFIX_SEP
 from tidemark.session import path_exists
@@ -101,6 +102,11 @@ def write_landing_text(df: DataFrame, base: str, source: str, dataset: str, stam
 
 # ---------------------------------------------------------------- append-only
 
+# Packed batches and the log that names them; hidden, like the logs, from any scan of the table root.
+PACK_DIR = "_packed"
+PACK_LOG_DIR = "_packs"
+
+
 class AppendOnlyTable:
     """Parquet table that only ever grows by whole micro-batches; its schema is recorded beside them."""
 
@@ -108,8 +114,11 @@ class AppendOnlyTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.schemas = SchemaLog(spark, self.path)
+        self.packs = CommitLog(spark, f"{self.path}/{PACK_LOG_DIR}")
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        if int(batch_id) in self.covered():
+            return  # a replay of a batch whose rows have been packed
         self.schemas.cover(df.schema)
         # Overwrite is scoped to this batch's own directory: a replay of the
         # same batch id replaces its earlier attempt instead of adding rows.
@@ -123,8 +132,69 @@ class AppendOnlyTable:
         recorded = self.schemas.schema()
         return recorded if recorded is not None else self.spark.read.option("mergeSchema", True).parquet(self.path).schema
 
+    def packed(self) -> tuple[int | None, dict | None]:
+        """(number, entry) of the last packing."""
+        at = self.packs.latest()
+        return at, None if at is None else self.packs.entry(at)
+
+    def covered(self, entry: dict | None = None) -> set[int]:
+        """Batches that packed folders stand for, by an entry or the last one."""
+        entry = entry or self.packed()[1]
+        return {b for low, high in entry["covered"] for b in range(low, high + 1)} if entry else set()
+
+    @staticmethod
+    def as_ranges(batches: set[int]) -> list[list[int]]:
+        ranges: list[list[int]] = []
+        for b in sorted(batches):
+            if ranges and ranges[-1][1] == b - 1:
+                ranges[-1][1] = b
+            else:
+                ranges.append([b, b])
+        return ranges
+
+    def _batches(self, pattern: str, up: int) -> dict[int, str]:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        found = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")) or []
+        names = [(s.getPath().getParent() if up else s.getPath()).getName() for s in found]
+        return {int(n.removeprefix("batch=")): f"{self.path}/{n}" for n in names}
+
+    def finished_batches(self) -> dict[int, str]:
+        """Batch id → directory of the batches that were written whole."""
+        return self._batches("batch=*/_SUCCESS", 1)
+
+    def packed_paths(self, entry: dict | None) -> list[str]:
+        return [f"{self.path}/{PACK_DIR}/{f}" for f in entry["folders"]] if entry else []
+
+    def live_paths(self) -> list[str]:
+        """The folders a reader takes: packed ones and the batch directories that they do not cover."""
+        entry = self.packed()[1]
+        covered = self.covered(entry) if entry else set()
+        return self.packed_paths(entry) + [p for b, p in sorted(self._batches("batch=*", 0).items()) if b not in covered]
+
+    def swept(self) -> bool:
+        """Have directories of covered batches been removed?"""
+        return bool(self.covered() - set(self._batches("batch=*", 0)))
+
+    def read_packed(self, spark: SparkSession, folders: list[str]) -> DataFrame:
+        """Packed folders by the newest schema, the batch id last, as in a read of directories."""
+        return spark.read.schema(StructType([*self.schema().fields, StructField("batch", IntegerType())])).parquet(*[f"{self.path}/{PACK_DIR}/{f}" for f in folders])
+
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema()).parquet(self.path)
+        entry = self.packed()[1]
+        if entry is None:
+            return self.spark.read.schema(self.schema()).parquet(self.path)
+        rows = self.read_packed(self.spark, entry["folders"])
+        covered = self.covered(entry)
+        rest = [p for b, p in sorted(self._batches("batch=*", 0).items()) if b not in covered]
+        return rows.unionByName(self.read_files(rest)) if rest else rows
+
+    def read_batch(self, batch_id: int) -> DataFrame | None:
+        """The rows of one batch, None if the table has none of that id."""
+        if int(batch_id) in self.covered():
+            return self.read().where(F.col("batch") == int(batch_id))
+        path = f"{self.path}/batch={int(batch_id)}"
+        return self.read_files([path]) if path_exists(self.spark, path) else None
 
     def read_files(self, paths: list[str]) -> DataFrame:
         """Some files of the table by its newest schema."""

@@ -28,6 +28,7 @@ from tidemark.functions.cleaning import TableSpec, project_spec
 from tidemark.functions.variant import variant_array, variant_field
 from tidemark.operators.cdc import latest_per_key, publish, scd1_merge, scd1_merge_join
 from tidemark.operators.quality import FAILED_RULES, failed_rules, quarantine
+from tidemark.session import path_exists
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sinks.tables import AppendOnlyTable, BucketedVersionedTable, VersionedTable
 from tidemark.sources.delimited import INGEST_TS, INGESTED_AT, SOURCE_FILE
@@ -67,9 +68,15 @@ def _run(q, name: str, timeout_s: int) -> None:
     await_query(q, timeout_s)
 
 
-def _bronze_stream(spark: SparkSession, bronze_path: str, max_files: int | None) -> DataFrame:
-    """The bronze table as a stream by its recorded schema: no footer of an old batch is opened."""
-    reader = spark.readStream.schema(AppendOnlyTable(spark, bronze_path).schema())
+def _bronze_stream(spark: SparkSession, bronze_path: str, max_files: int | None, checkpoint: str) -> DataFrame:
+    """The bronze table as a stream by its recorded schema: no footer of an old batch is opened.
+
+    A stream that has not begun cannot read batches whose directories have been swept after packing: it is refused.
+    """
+    bronze = AppendOnlyTable(spark, bronze_path)
+    if not path_exists(spark, checkpoint) and bronze.swept():
+        raise RuntimeError(f"{bronze_path}: batches have been swept, a stream without a checkpoint would miss them")
+    reader = spark.readStream.schema(bronze.schema())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(bronze_path)
@@ -142,7 +149,7 @@ def start_silver(
             flagged.unpersist()
 
     q = (
-        _bronze_stream(spark, bronze.path, max_files_per_trigger)
+        _bronze_stream(spark, bronze.path, max_files_per_trigger, layout.checkpoint("silver", spec.name))
         .withColumn(BRONZE_FILE, F.col("_metadata.file_path"))
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", layout.checkpoint("silver", spec.name))
@@ -181,7 +188,7 @@ def refresh_silver_stateful(
     target = VersionedTable(spark, layout.table_path("silver_state", spec.name))
     stream_name = f"silver_state_{spec.name}"
     keys, payload = list(spec.keys), payload_columns(spec)
-    raw = _bronze_stream(spark, layout.table_path("bronze", bronze_table), max_files_per_trigger)
+    raw = _bronze_stream(spark, layout.table_path("bronze", bronze_table), max_files_per_trigger, layout.checkpoint("silver_state", spec.name))
     clean = typed_batch(raw, spec).filter(
         F.size(F.array_compact(F.array(*[F.when(~r.passes(), F.lit(r.name)) for r in spec.rules]))) == 0
         if spec.rules else F.lit(True)
