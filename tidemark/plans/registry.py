@@ -1163,6 +1163,28 @@ def q_compact_table(spark, sf_dir):
     return table.read()
 
 
+@register("auto_cluster_table", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_auto_cluster_table(spark, sf_dir):
+    """K9: keys chosen from column statistics, rows along a curve over them; a filter on either of two keys, or both, skips most files."""
+    from tidemark.sinks.clustering import cluster, file_ranges, files_read
+    from tidemark.sinks.packing import file_listing
+    from tidemark.sinks.tables import VersionedTable
+
+    lay = _layout(spark, "auto_cluster_table")
+    table = VersionedTable(spark, f"{lay.tables}/events")
+    table.commit(_q(spark, sf_dir, "events"))
+    size = file_listing(spark, [table.version_path(table.current_version())]).agg(F.sum("length")).first()[0]
+    _, keys = cluster(table, target_file_bytes=max(1, size // 64))
+    two = ["event_id" if k == "ts" else k for k in keys[:2]]  # times rise with the ids, so either is served by the other
+    ranges = file_ranges(table.read(), two)
+    edges = table.read().agg(*[F.percentile_approx(k, [0.45, 0.5]).alias(k) for k in two]).first()
+    spans = {k: tuple(edges[k]) for k in two}
+    shares = [files_read(ranges, **{k: spans[k]}) for k in two] + [files_read(ranges, **spans)]
+    if not (max(shares[:2]) <= 0.6 and shares[2] <= 0.25):
+        raise AssertionError(f"clustering on {keys}: shares of files read {shares}")
+    return table.read()
+
+
 @register("ingest_text_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def q_ingest_text_roundtrip(spark, sf_dir):
     """Texts with tabs, quotes and line breaks land as quoted fields and are read back as they were."""
